@@ -6,8 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "TIMESTAMP": T.TimestampType(),
+    "DATE": T.DateType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    # StructType.fromDDL needs a live session, and this module is imported before there is one.
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 RAW = _struct(
