@@ -17,6 +17,8 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # Files written by pandas hold nanoseconds: let them load as numbers (see sources.tables).
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     if input_bytes is not None:

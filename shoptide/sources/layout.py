@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ def _file(field: str) -> Column:
 
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Rows per source file of a frame read from files; reads no data column."""
-    return df.groupBy(_file("file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("total_rows"))
+    # Files of several partitions written by one task share their name.
+    files = df.groupBy(_file("file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("total_rows"))
+    return files.select(F.substring_index("file_path", "/", -1).alias("file_name"), "total_rows")
 
 
 def storage_layout(df: DataFrame) -> DataFrame:
@@ -45,7 +49,8 @@ def storage_summary(df: DataFrame) -> DataFrame:
 
 def file_sample(df: DataFrame, files: int = fixed.SAMPLE_FILES) -> DataFrame:
     """The rows of the first ``files`` files in path order."""
-    paths = sorted(df.inputFiles())[:files]
+    # The listing writes file:///x, the metadata column file:/x. The filter prunes files.
+    paths = [re.sub("^file:/+", "file:/", path) for path in sorted(df.inputFiles())[:files]]
     return df.where(_file("file_path").isin(*paths)) if paths else df.limit(0)
 
 
