@@ -56,17 +56,17 @@ def _silver(spark: SparkSession, folder: str) -> DataFrame:
 
 def _daily(spark: SparkSession, folder: str) -> DataFrame:
     events = silver_plan.silver_needed(_raw(spark, folder), "user_session", "price")
-    return gold.gold_daily(events)
+    return gold.gold_daily(events, ordered=False)
 
 
 def _hourly(spark: SparkSession, folder: str) -> DataFrame:
     events = silver_plan.silver_needed(_raw(spark, folder), "user_session", "price")
-    return gold.gold_hourly(events)
+    return gold.gold_hourly(events, ordered=False)
 
 
 def _category(spark: SparkSession, folder: str) -> DataFrame:
     events = silver_plan.silver_needed(_raw(spark, folder), "category_code", "price")
-    return gold.gold_category(events)
+    return gold.gold_category(events, ordered=False)
 
 
 def _over(source: Query, report: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -187,9 +187,9 @@ def queries() -> dict[str, Query]:
         "conversion_stage": _stages,
         "silver_events": _silver,
         # Facts
-        "gold_daily": _daily,
-        "gold_hourly": _hourly,
-        "gold_category": _category,
+        "gold_daily": _over(_events("user_session", "price"), gold.gold_daily),
+        "gold_hourly": _over(_events("user_session", "price"), gold.gold_hourly),
+        "gold_category": _over(_events("category_code", "price"), gold.gold_category),
         "gold_weekly": _over(_events("user_session", "price"), gold.gold_period, "week"),
         "gold_monthly": _over(_events("user_session", "price"), gold.gold_period, "month"),
         # Profiles

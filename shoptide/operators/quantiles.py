@@ -34,7 +34,7 @@ def exact_quantiles(
     # One row per column name, each with at most `slices` marks: a size fixed by the caller.
     steps = [i / slices for i in range(1, slices)]
     marks = freq.groupBy("column_name").agg(
-        F.percentile_approx("value", steps, 100 * slices).alias("marks")
+        F.percentile_approx("value", steps, 10 * slices).alias("marks")
     )
     sliced = freq.join(F.broadcast(marks), "column_name").select(
         "column_name",

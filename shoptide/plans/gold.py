@@ -30,22 +30,23 @@ def _with_day_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def gold_daily(silver: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per day, in date order."""
+def gold_daily(silver: DataFrame, exact: bool = True, ordered: bool = True) -> DataFrame:
+    """One row per day, in date order. Reports that aggregate further need no order."""
     days = fact(silver, ["year", "month", "day"], _measured(GOLD_DAILY.names), exact)
-    return days.transform(_with_day_columns).select(*GOLD_DAILY.names).orderBy("date")
+    table = days.transform(_with_day_columns).select(*GOLD_DAILY.names)
+    return table.orderBy("date") if ordered else table
 
 
-def gold_hourly(silver: DataFrame, exact: bool = True) -> DataFrame:
+def gold_hourly(silver: DataFrame, exact: bool = True, ordered: bool = True) -> DataFrame:
     """One row per day and hour, in time order."""
     keys = ["year", "month", "day", F.hour("event_time").alias("hour")]
     hours = fact(silver, keys, _measured(GOLD_HOURLY.names), exact)
-    return (
+    table = (
         hours.transform(_with_day_columns)
         .withColumn("time_of_day", hour_band(F.col("hour")))
         .select(*GOLD_HOURLY.names)
-        .orderBy("date", "hour")
     )
+    return table.orderBy("date", "hour") if ordered else table
 
 
 def with_category(
@@ -59,6 +60,7 @@ def with_category(
 def gold_category(
     silver: DataFrame,
     exact: bool = True,
+    ordered: bool = True,
     exclude: tuple[str, ...] = fixed.EXCLUDED_CATEGORIES,
 ) -> DataFrame:
     """One row per first-level category, highest revenue first."""
@@ -74,11 +76,8 @@ def gold_category(
         "pct_revenue": share_of(F.col("total_revenue"), totals.getField("revenue")),
         "pct_purchases": share_of(F.col("total_purchases"), totals.getField("purchases")),
     }
-    return (
-        categories.withColumns(shares)
-        .select(*GOLD_CATEGORY.names)
-        .orderBy(F.col("total_revenue").desc(), "category_l1")
-    )
+    table = categories.withColumns(shares).select(*GOLD_CATEGORY.names)
+    return table.orderBy(F.col("total_revenue").desc(), "category_l1") if ordered else table
 
 
 _PERIOD_FACT = [
