@@ -12,9 +12,21 @@ from pyspark.sql import functions as F
 from shoptide import fixed_values as fixed
 from shoptide.schemas import RAW
 
+# Known schemas spare the job that would read a file footer to infer them.
+SCHEMAS = {
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ),
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DOUBLE"
+    ),
+}
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def _word(name: str, n: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,16 +53,20 @@ def write_events(
     partitions: Sequence[str] = DAY_PARTITIONS,
     max_records_per_file: int = 20_000_000,
     compression: str = "zstd",
-) -> None:
-    """Events to Parquet, one folder per day.
+) -> int:
+    """Events to Parquet, one folder per day; returns the rows written.
 
     Overwriting replaces the days the frame holds and leaves the others, so a run can be repeated
     without doubling rows. The rebalance hint gathers each day into files of a good size: AQE joins
     small days and cuts a huge one over many tasks, where a plain repartition would hand a whole day
     to one.
     """
+    gathered = df.hint("rebalance", *partitions)
+    # Counted in the writing tasks, after the shuffle: Spark counts a result task once however often
+    # lost executors make it run, and no second job is needed.
+    written = Observation()
     (
-        df.hint("rebalance", *partitions)
+        gathered.observe(written, F.count(F.lit(1)).alias("total_rows"))
         .write.partitionBy(*partitions)
         .mode(mode)
         .option("partitionOverwriteMode", "dynamic")
@@ -70,6 +74,7 @@ def write_events(
         .option("compression", compression)
         .parquet(path)
     )
+    return written.get["total_rows"]
 
 
 def write_fact(df: DataFrame, path: str, files: int | None = None) -> int:
