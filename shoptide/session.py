@@ -6,14 +6,28 @@ import math
 
 from pyspark.sql import SparkSession
 
-ADVISORY_BYTES = 128 * 1024 * 1024
+MB, GB = 2**20, 2**30
+PARTITION_BYTES = 128 * MB
+FINE_PARTITIONS = 20_000
+LARGEST_PARTITION_BYTES = 2 * GB
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions to start a shuffle of ``input_bytes`` with.
+
+    About 128 MB each, up to 20,000 partitions; beyond that partitions grow instead, to 2 GB at most,
+    since the blocks of a shuffle are map tasks times partitions. Sorts and aggregates spill.
+    """
+    fine = math.ceil(input_bytes / PARTITION_BYTES)
+    return max(1, min(fine, FINE_PARTITIONS), math.ceil(input_bytes / LARGEST_PARTITION_BYTES))
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Pin calendar functions to UTC and make table writes replace only the partitions they touch.
 
-    With ``input_bytes`` the number of shuffle partitions AQE starts from is sized for about 128 MB
-    each; AQE then merges small ones and splits skewed ones. Without it the caller's value stays.
+    With ``input_bytes``, the size of what will be shuffled, the number of partitions AQE starts from
+    is set; AQE then merges small ones up to 128 MB and splits skewed ones. Without it the caller's
+    values stay.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -22,11 +36,13 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     if input_bytes is not None:
-        wanted = max(1, math.ceil(input_bytes / ADVISORY_BYTES))
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, current))
+        wanted = max(
+            shuffle_partitions(input_bytes), int(spark.conf.get("spark.sql.shuffle.partitions"))
         )
+        coalesce = "spark.sql.adaptive.coalescePartitions"
+        spark.conf.set(f"{coalesce}.initialPartitionNum", str(wanted))
+        spark.conf.set(f"{coalesce}.parallelismFirst", "false")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PARTITION_BYTES))
     return spark
 
 
