@@ -319,6 +319,22 @@ def _period_fact(unit: str) -> str:
       FROM (SELECT date_trunc('{unit}', event_time)::DATE AS start, {_MEASURES} FROM silver GROUP BY 1)"""
 
 
+def _windows(source: str, starts: str, band: str = "") -> str:
+    return f"""SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, {band}
+      total_events, total_views, total_carts, total_purchases, total_revenue, avg_price,
+      CASE WHEN total_purchases > 0 THEN total_revenue / total_purchases ELSE 0::DOUBLE END
+        AS avg_order_value,
+      {_CONVERSION} AS conversion_rate, {_ABANDONMENT} AS cart_abandonment_rate
+      FROM (SELECT window_start, {_MEASURES} FROM (SELECT *, {starts} AS window_start FROM {source})
+            GROUP BY 1)"""
+
+
+_QUARTERS = """unnest([time_bucket(INTERVAL 15 MINUTE, event_time),
+  time_bucket(INTERVAL 15 MINUTE, event_time) - INTERVAL 15 MINUTE,
+  time_bucket(INTERVAL 15 MINUTE, event_time) - INTERVAL 30 MINUTE,
+  time_bucket(INTERVAL 15 MINUTE, event_time) - INTERVAL 45 MINUTE])"""
+
+
 def _bodies() -> dict[str, str]:
     sides = f"SELECT {_side('before', _FIRST)}, {_side('after', _SECOND)} FROM daily"
     totals = f"""SELECT {_big('total_events')} AS total_events, {_big('total_purchases')} AS total_purchases,
@@ -659,6 +675,36 @@ def _bodies() -> dict[str, str]:
           FROM (SELECT *, min(week) OVER (PARTITION BY user_id) AS cohort_week
                 FROM (SELECT DISTINCT user_id, date_trunc('week', event_time)::DATE AS week FROM silver))
           GROUP BY 1, 2""",
+        "stream_silver_rows": f"""SELECT {_RAW},
+          hour(event_time)::INTEGER AS hour, (dayofweek(event_time) + 1)::INTEGER AS day_of_week,
+          dayofweek(event_time) IN (0, 6) AS is_weekend,
+          CASE WHEN hour(event_time) BETWEEN 6 AND 11 THEN 'morning'
+               WHEN hour(event_time) BETWEEN 12 AND 17 THEN 'afternoon'
+               WHEN hour(event_time) BETWEEN 18 AND 21 THEN 'evening' ELSE 'night' END AS time_of_day,
+          string_split(category_code, '.')[1] AS category_l1,
+          string_split(category_code, '.')[2] AS category_l2,
+          string_split(category_code, '.')[3] AS category_l3,
+          year(event_time)::INTEGER AS year, month(event_time)::INTEGER AS month,
+          day(event_time)::INTEGER AS day FROM filled""",
+        "stream_dedup": f"SELECT DISTINCT {_RAW} FROM raw",
+        "stream_hourly_windows": _windows(
+            "valid", "date_trunc('hour', event_time)::TIMESTAMP",
+            """CASE WHEN hour(window_start) < 6 THEN 'madrugada' WHEN hour(window_start) < 12 THEN 'mañana'
+               WHEN hour(window_start) < 18 THEN 'tarde' ELSE 'noche' END AS time_of_day,""",
+        ),
+        "stream_sliding_traffic": _windows("raw", _QUARTERS),
+        "stream_user_sessions": """SELECT user_id, min(event_time) AS visit_start,
+            max(event_time) + INTERVAL 30 MINUTE AS visit_end, count(*) AS total_events,
+            count(*) FILTER (WHERE event_type = 'purchase') AS total_purchases
+          FROM (SELECT *, sum(CASE WHEN event_time < last_time + INTERVAL 30 MINUTE THEN 0 ELSE 1 END)
+                  OVER (PARTITION BY user_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS visit
+                FROM (SELECT *, lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time)
+                        AS last_time FROM raw))
+          GROUP BY user_id, visit""",
+        "stream_running_stage": """SELECT user_id, product_id,
+          CASE max(CASE event_type WHEN 'purchase' THEN 2 WHEN 'cart' THEN 1 ELSE 0 END)
+            WHEN 2 THEN 'purchased' WHEN 1 THEN 'added_to_cart' ELSE 'viewed_only' END AS conversion_stage
+          FROM raw GROUP BY 1, 2""",
     }
 
 

@@ -9,6 +9,8 @@ round.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +30,10 @@ from shoptide.plans import hourly_reports as by_hour
 from shoptide.plans import silver as silver_plan
 from shoptide.plans import silver_reports as quality
 from shoptide.plans.periods import Period
+from shoptide.session import shared_folder
 from shoptide.sources import layout
-from shoptide.sources.driver_tables import read_table, shop_events
+from shoptide.sources.driver_tables import read_table, shop_event_stream, shop_events
+from shoptide.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,10 +167,44 @@ def _timed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _run_folder(spark: SparkSession) -> str:
+    """A fresh folder for one streaming run: in the cluster's shared folder, or, in local mode, where
+    every task runs on this machine, in the temporary one."""
+    local = spark.sparkContext.master.startswith("local")
+    if local and not spark.conf.get("spark.checkpoint.dir", None):
+        return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return shared_folder(spark, f"run-{uuid.uuid4().hex}")
+
+
+def _streamed(
+    job: Callable[[DataFrame], DataFrame], columns: list[str], complete: bool = False
+) -> Query:
+    """Run a streaming job over the file of events until all of it is processed.
+
+    Times come back without a zone. Approximate counts are left out of what is compared.
+    """
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        result = job(shop_event_stream(configure(spark), folder))
+        root = _run_folder(spark)
+        table = sinks.run_available(result, f"{root}/table", f"{root}/checkpoint", complete)
+        times = [f.name for f in table.schema.fields if f.dataType.typeName() == "timestamp"]
+        return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times}).select(*columns)
+
+    return run
+
+
+def _stream_hours(stream: DataFrame) -> DataFrame:
+    return jobs.hourly_windows(stream.transform(cleaning.keep_valid_prices))
+
+
 def queries() -> dict[str, Query]:
     halves = (FIRST_HALF, SECOND_HALF)
     by_time = _events()
     coded = _events("category_code")
+    window_measures = [
+        m for m in jobs.WINDOW_MEASURES if m not in ("unique_users", "unique_sessions", "events_per_user")
+    ]
     moments = ("mean", "std", "p25", "p50", "p75")
     return {
         # Scans and samples
@@ -325,4 +363,22 @@ def queries() -> dict[str, Query]:
         "dim_category": _over(coded, dimensions.dim_category),
         "star_revenue": _over(_rows, dimensions.star_revenue),
         "weekly_retention": _over(by_time, dimensions.weekly_retention),
+        # Streams
+        "stream_silver_rows": _streamed(
+            jobs.silver_rows, [c for c in schemas.SILVER.names if c != "conversion_stage"]
+        ),
+        "stream_dedup": _streamed(jobs.dedup, schemas.RAW.names),
+        "stream_hourly_windows": _streamed(
+            _stream_hours, ["window_start", "window_end", "time_of_day", *window_measures], True
+        ),
+        "stream_sliding_traffic": _streamed(
+            jobs.sliding_traffic, ["window_start", "window_end", *window_measures], True
+        ),
+        "stream_user_sessions": _streamed(
+            jobs.user_sessions,
+            ["user_id", "visit_start", "visit_end", "total_events", "total_purchases"], True,
+        ),
+        "stream_running_stage": _streamed(
+            jobs.running_stage, ["user_id", "product_id", "conversion_stage"], True
+        ),
     }

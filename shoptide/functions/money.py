@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def _cents(price: Column) -> Column:
-    return F.rint(price * 100).cast("bigint")
+    """Whole cents; a NaN price counts as missing, an infinite one raises."""
+    return F.when(~F.isnan(price), F.rint(price * 100).cast("bigint"))
 
 
 def total_money(price: Column, where: Column | None = None) -> Column:
@@ -21,8 +22,9 @@ def total_money(price: Column, where: Column | None = None) -> Column:
 
 
 def average_money(price: Column) -> Column:
-    """Mean of the non-null prices in dollars."""
-    return F.try_divide(F.sum(_cents(price)) / F.lit(100.0), F.count(price))
+    """Mean of the prices that are there, in dollars."""
+    cents = _cents(price)
+    return F.try_divide(F.sum(cents) / F.lit(100.0), F.count(cents))
 
 
 def money_total(total: Column) -> Column:

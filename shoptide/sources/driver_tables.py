@@ -48,8 +48,23 @@ def shop_products(part: DataFrame) -> DataFrame:
 
 def shop_events(spark: SparkSession, folder: str) -> DataFrame:
     """Raw events (schema ``RAW``, zone-less times) from the tables below ``folder``."""
-    events = read_table(spark, folder, "events")
-    products = shop_products(read_table(spark, folder, "part"))
+    return as_shop_events(read_table(spark, folder, "events"), read_table(spark, folder, "part"))
+
+
+def shop_event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as a stream over the file of events; times carry a zone, as watermarks require."""
+    events = (
+        spark.readStream.schema(SCHEMAS["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(folder)
+    )
+    raw = as_shop_events(events, read_table(spark, folder, "part"))
+    return raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+
+def as_shop_events(events: DataFrame, part: DataFrame) -> DataFrame:
+    """Raw shop events from the rows of ``events`` and the products of ``part``."""
+    products = shop_products(part)
     event_id, time = F.col("event_id"), F.col("ts")
     event_type = (
         F.when(F.col("event_type") == "purchase", fixed.PURCHASE)

@@ -61,3 +61,22 @@ def start_events_sink(stream: DataFrame, path: str, name: str, **trigger) -> Str
         .option("path", path)
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def run_available(stream: DataFrame, path: str, checkpoint: str, complete: bool = False) -> DataFrame:
+    """Process what has arrived since the last run, stop, and return the table at ``path``.
+
+    Suits scheduled runs. Rows are appended exactly once; with ``complete`` the table holds the whole
+    state of an aggregate and each batch replaces it.
+    """
+    writer = stream.writeStream.option("checkpointLocation", checkpoint)
+    if complete:
+
+        def replace(rows: DataFrame, batch_id: int) -> None:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+        writer = writer.outputMode("complete").foreachBatch(replace)
+    else:
+        writer = writer.outputMode("append").format("parquet").option("path", path)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)

@@ -301,3 +301,23 @@ def test_missing_days(spark):
     silver = silver_events(edge_frame(spark))
     missing = silver_reports.missing_days(silver, dt.date(2019, 10, 1), dt.date(2019, 10, 7))
     assert [r["date"].day for r in rows(missing)] == [2, 3, 4]
+
+
+def test_a_nan_price_counts_as_missing_in_money(spark):
+    raw = events(
+        spark,
+        [("10-01 00:00:00", "purchase", 1, "a", "x", float("nan")),
+         ("10-01 00:00:01", "purchase", 1, "a", "x", 2.5),
+         ("10-01 00:00:02", "purchase", 1, "a", "x", None)],
+    )
+    found = one(fact(raw, ["user_id"], ["total_revenue", "avg_price"]))
+    assert (found["total_revenue"], found["avg_price"]) == (2.5, 2.5)
+
+
+def test_money_does_not_depend_on_row_order(spark):
+    prices = [0.1, 0.2, 0.3, 1e9, 0.7, 0.01] * 50
+    raw = events(spark, [("10-01 00:00:00", "purchase", i, "a", "x", p) for i, p in enumerate(prices)])
+    sums = {
+        one(fact(raw.repartition(n), ["user_id"], ["total_revenue"]))["total_revenue"] for n in (1, 3, 7)
+    }
+    assert sums == {50 * 1_000_000_001.31}
