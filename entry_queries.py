@@ -194,6 +194,15 @@ def _streamed(
     return run
 
 
+def _daily_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    stream = jobs.silver_rows(shop_event_stream(configure(spark), folder))
+    root = _run_folder(spark)
+    batch = sinks.upsert_daily(f"{root}/silver", f"{root}/gold")
+    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/gold").select(*schemas.GOLD_DAILY.names)
+
+
 def _stream_hours(stream: DataFrame) -> DataFrame:
     return jobs.hourly_windows(stream.transform(cleaning.keep_valid_prices))
 
@@ -337,6 +346,7 @@ def queries() -> dict[str, Query]:
         "users_by_stage": _over(_staged, quality.users_by_stage),
         "stage_consistency": _over(_staged, quality.stage_consistency),
         "stage_examples": _over(_staged, quality.stage_examples),
+        "buyer_trail": _over(_staged, quality.buyer_trail),
         "column_growth": _column_growth,
         "layer_summary": _layer_summary,
         # Bronze reports
@@ -347,6 +357,8 @@ def queries() -> dict[str, Query]:
         "bronze_top_brands": _over(_raw, bronze.top_values, "brand"),
         "bronze_category_examples": _over(_raw, bronze.value_examples, "category_code"),
         "invalid_prices": _over(_raw, bronze.invalid_prices),
+        "zero_price_examples": _over(_raw, bronze.zero_price_examples),
+        "duplicate_examples": _over(_raw, bronze.duplicate_examples),
         "bronze_category_l1_dist": _over(_raw, bronze.category_root_dist),
         "bronze_category_l1_rarest": _over(_raw, bronze.rarest_category_roots),
         "quality_verdicts": _over(_raw, bronze.quality_verdicts),
@@ -378,6 +390,7 @@ def queries() -> dict[str, Query]:
             jobs.user_sessions,
             ["user_id", "visit_start", "visit_end", "total_events", "total_purchases"], True,
         ),
+        "stream_daily_upsert": _daily_upsert,
         "stream_running_stage": _streamed(
             jobs.running_stage, ["user_id", "product_id", "conversion_stage"], True
         ),

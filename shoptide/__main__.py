@@ -72,6 +72,8 @@ EVENT_REPORTS: dict[str, Report] = {
         silver_reports.category_depth, silver_reports.category_paths,
         silver_reports.event_by_stage, silver_reports.users_by_stage,
         silver_reports.stage_consistency, silver_reports.stage_examples,
+        silver_reports.buyer_trail, bronze_reports.zero_price_examples,
+        bronze_reports.duplicate_examples,
         bronze_reports.event_dist, bronze_reports.time_range, bronze_reports.nulls_found,
         bronze_reports.invalid_prices, bronze_reports.category_root_dist,
         bronze_reports.rarest_category_roots, bronze_reports.quality_verdicts,

@@ -59,6 +59,32 @@ def invalid_prices(raw: DataFrame) -> DataFrame:
     )
 
 
+def zero_price_examples(raw: DataFrame, k: int = 5) -> DataFrame:
+    """The first k rows with a price of zero, by event key."""
+    zero = raw.where(F.col("price") == 0)
+    few = top_k(zero, k, "user_id", "product_id", "event_type", "event_time", "brand")
+    return few.select("event_time", "event_type", "product_id", "brand", "price")
+
+
+def duplicate_examples(raw: DataFrame, k: int = 10) -> DataFrame:
+    """The first k members of duplicate groups, by event key.
+
+    Each group has two members at least, so k rows come from the first k groups: those few are
+    broadcast to the rows.
+    """
+    key = [c for c in fixed.EVENT_KEY if c != "event_time"]
+    second = F.date_trunc("second", "event_time")
+    groups = raw.groupBy(*(F.col(c).alias(f"group_{c}") for c in key), second.alias("group_second"))
+    repeated = groups.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    order = [f"group_{c}" for c in key] + ["group_second"]
+    few = F.broadcast(top_k(repeated, k, *order))
+    same = second.eqNullSafe(F.col("group_second"))
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"group_{c}"))
+    members = raw.join(few, same).select("event_time", "event_type", "product_id", "user_id", "price")
+    return top_k(members, k, "user_id", "product_id", "event_type", "event_time", "price")
+
+
 def _root_counts(raw: DataFrame) -> DataFrame:
     return value_counts(raw.select(category_root(F.col("category_code")).alias("category_l1")), "category_l1")
 

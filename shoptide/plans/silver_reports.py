@@ -218,6 +218,25 @@ def stage_examples(silver: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+def buyer_trail(silver: DataFrame) -> DataFrame:
+    """All events of the first (user, product) pair with a purchase, in time order."""
+    pair = top_k(
+        silver.where(is_purchase()).select(
+            F.col("user_id").alias("buyer"), F.col("product_id").alias("bought")
+        ),
+        1,
+        "buyer",
+        "bought",
+    )
+    same = F.col("user_id").eqNullSafe(F.col("buyer")) & F.col("product_id").eqNullSafe(F.col("bought"))
+    # One row is broadcast.
+    return (
+        silver.join(F.broadcast(pair), same)
+        .select("user_id", "product_id", "event_time", "event_type", "conversion_stage")
+        .orderBy("event_time", "event_type")
+    )
+
+
 def column_growth(raw: DataFrame, silver_columns: Sequence[str]) -> DataFrame:
     """Rows and columns in and out of the Silver step; counts the result without building it."""
     before, after = len(raw.columns), len(silver_columns)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -66,25 +67,49 @@ def _kind(data_type: T.DataType) -> str:
     return data_type.simpleString().replace("timestamp_ntz", "timestamp")
 
 
+def _text(value: str | None) -> Column:
+    return F.lit(value).cast("string")
+
+
 def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """One row per expected or present column: ``ok``, ``missing``, ``extra`` or ``type``."""
+    """One row per expected or present column: ``ok``, ``missing``, ``extra`` or ``type``, with the
+    rows that hold a value."""
     want = {f.name: _kind(f.dataType) for f in expected.fields}
     have = {f.name: _kind(f.dataType) for f in df.schema.fields}
-    rows = []
-    for name in [*want, *(n for n in have if n not in want)]:
+
+    def status(name: str) -> str:
         if name not in have:
-            status = "missing"
-        elif name not in want:
-            status = "extra"
-        else:
-            status = "ok" if want[name] == have[name] else "type"
-        rows.append((name, want.get(name), have.get(name), status))
-    return df.sparkSession.createDataFrame(
-        rows, "column_name STRING, expected_type STRING, actual_type STRING, status STRING"
-    )
+            return "missing"
+        if name not in want:
+            return "extra"
+        return "ok" if want[name] == have[name] else "type"
+
+    rows = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            _text(want.get(name)).alias("expected_type"),
+            _text(have.get(name)).alias("actual_type"),
+            F.lit(status(name)).alias("status"),
+            (F.col(name) if name in have else F.lit(None).cast("bigint")).alias("filled_rows"),
+        )
+        for name in [*want, *(n for n in have if n not in want)]
+    ]
+    return _filled_rows(df).select(F.inline(F.array(*rows)))
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """Column position, name and type of a layer, as rows."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, 1)]
-    return df.sparkSession.createDataFrame(rows, "position INT, column_name STRING, data_type STRING")
+    """Position, name, type and rows with a value of each column of a layer."""
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col(f.name).alias("filled_rows"),
+        )
+        for i, f in enumerate(df.schema.fields, 1)
+    ]
+    return _filled_rows(df).select(F.inline(F.array(*rows)))
+
+
+def _filled_rows(df: DataFrame) -> DataFrame:
+    return df.agg(*(F.count(F.col(c)).alias(c) for c in df.columns))

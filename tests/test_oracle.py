@@ -14,7 +14,7 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
-WITHOUT_SQL = {"storage_layout", "schema_check", "schema_report"}
+WITHOUT_SQL = {"storage_layout"}
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shoptide import configure
+from shoptide.functions import stage_rank
 from shoptide.operators import cleaning, enrichment
 from shoptide.operators.shares import value_shares
 from shoptide.plans import daily_reports, gold, silver_reports
 from shoptide.plans.silver import silver_events
 from shoptide.schemas import RAW
 from shoptide.session import shuffle_partitions
-from shoptide.sources.driver_tables import shop_events
+from shoptide.sources.driver_tables import as_shop_events, read_table, shop_events
 from shoptide.sources.tables import read_events, write_events
 
 QUERIES = entry.queries()
@@ -118,13 +119,31 @@ def test_hot_pair_is_split_over_tasks(spark):
         assert "skew=true" in text
         counts = {r[0]: r[1] for r in staged.groupBy("conversion_stage").count().collect()}
     window = raw.groupBy("user_id", "product_id").agg(
-        F.max(F.when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "cart", 1).otherwise(0)).alias("r"),
+        F.max(stage_rank()).alias("r"),
         F.count(F.lit(1)).alias("n"),
     )
     want = {r.r: r.n for r in window.groupBy("r").agg(F.sum("n").alias("n")).collect()}
     assert counts == {"purchased": want[2], "added_to_cart": want[1], "viewed_only": want[0]}
 
 
+def test_hot_product_of_the_test_tables_is_split_over_tasks(spark, sf001):
+    events = read_table(spark, sf001, "events")
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit('{"k": 7}')).otherwise(F.col("props"))
+    raw = as_shop_events(
+        events.withColumn("props", hot).repartition(8), read_table(spark, sf001, "part")
+    )
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1KB",
+    ):
+        assert "skew=true" in final_plan(raw)
+
+
 def test_hot_day_is_split_over_files(spark, tmp_path):
     path = str(tmp_path / "bronze")
     day = hot_events(spark).withColumn("event_time", F.expr("timestamp'2019-10-01 00:00:00'"))

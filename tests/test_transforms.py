@@ -243,6 +243,8 @@ def test_schemas(spark):
     broken = silver.drop("brand").withColumn("helper", F.lit(1)).withColumn("hour", F.lit("x"))
     status = {r["column_name"]: r["status"] for r in rows(schema_check(broken, SILVER))}
     assert (status["brand"], status["helper"], status["hour"]) == ("missing", "extra", "type")
+    filled = {r["column_name"]: r["filled_rows"] for r in rows(schema_check(broken, SILVER))}
+    assert (filled["brand"], filled["price"], filled["category_l3"]) == (None, 8, 1)
 
 
 def test_facts_agree_with_each_other(spark, sf001):
