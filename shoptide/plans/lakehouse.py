@@ -12,7 +12,7 @@ from shoptide.operators.enrichment import add_calendar_parts
 from shoptide.plans.gold import gold_category, gold_daily, gold_hourly
 from shoptide.plans.silver import silver_events
 from shoptide.sources.raw_csv import read_raw_csv
-from shoptide.sources.tables import read_events, write_events, write_fact
+from shoptide.sources.tables import between_days, read_events, write_events, write_fact
 
 
 @dataclass(frozen=True)
@@ -56,8 +56,9 @@ def build_silver(
     The funnel stage always looks at the carts and purchases of all of Bronze. A run over some days
     replaces only those days; stages written for earlier days stay as they were.
     """
+    # Listed once, however many files there are.
     everything = read_events(spark, bronze)
-    chosen = read_events(spark, bronze, first, last)
+    chosen = between_days(everything, first, last)
     return _timed_write(silver_events(chosen, evidence=everything), silver, "overwrite")
 
 

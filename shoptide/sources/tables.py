@@ -23,12 +23,16 @@ def read_events(
     The day filter holds only partition columns: folders outside the range are never listed as
     input, and days without a folder are simply not there.
     """
-    events = _microseconds(spark.read.parquet(path))
+    return between_days(_microseconds(spark.read.parquet(path)), first, last)
+
+
+def between_days(df: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:
+    """Rows of the days from ``first`` to ``last``, by the partition columns; None leaves a side open."""
     if first is not None:
-        events = events.where(calendar_date() >= F.lit(first))
+        df = df.where(calendar_date() >= F.lit(first))
     if last is not None:
-        events = events.where(calendar_date() <= F.lit(last))
-    return events
+        df = df.where(calendar_date() <= F.lit(last))
+    return df
 
 
 def read_days(
