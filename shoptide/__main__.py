@@ -3,6 +3,7 @@
     python -m shoptide ingest 'raw/*.csv' lake/bronze
     python -m shoptide silver lake/bronze lake/silver --first 2019-10-01 --last 2019-10-07
     python -m shoptide gold lake/silver lake/gold
+    python -m shoptide --input-gb 4000 silver lake/bronze lake/silver
     python -m shoptide report period_compare lake/gold/fact_daily_metrics
     python -m shoptide reports
 """
@@ -104,6 +105,9 @@ def report(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="shoptide", description="Shop clickstream tables and reports")
+    parser.add_argument(
+        "--input-gb", type=float, help="gigabytes a step will shuffle: sizes the shuffle partitions"
+    )
     steps = parser.add_subparsers(dest="step", required=True)
     ingest = steps.add_parser("ingest", help="CSV files to Bronze")
     ingest.add_argument("csv", nargs="+")
@@ -131,7 +135,8 @@ def main(argv: list[str] | None = None) -> None:
         print("over a fact table:", *sorted(FACT_REPORTS), sep="\n  ")
         print("over Bronze or Silver:", *sorted(EVENT_REPORTS), sep="\n  ")
         return
-    spark = configure(SparkSession.builder.appName("shoptide").getOrCreate())
+    size = None if chosen.input_gb is None else int(chosen.input_gb * 2**30)
+    spark = configure(SparkSession.builder.appName("shoptide").getOrCreate(), size)
     if chosen.step == "ingest":
         mode = "append" if chosen.append else "overwrite"
         stats = lakehouse.ingest_csv(spark, chosen.csv, chosen.bronze, mode)

@@ -56,6 +56,20 @@ def test_report_is_shown(lake, capsys):
     assert "price_stats" in capsys.readouterr().out
 
 
+def test_input_size_sets_the_shuffle(spark, lake):
+    names = [
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    ]
+    try:
+        main(["--input-gb", "4", "report", "time_range", str(lake / "silver")])
+        assert spark.conf.get(names[0]) == "32"
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
 def test_unknown_report(spark):
     with pytest.raises(ValueError):
         report(spark, "nothing", "x")
