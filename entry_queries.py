@@ -99,8 +99,7 @@ def _head_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _source_tables(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
-    return spark.read.parquet(f"{folder.rstrip('/')}/events.parquet")
+    return read_table(configure(spark), folder, "events")
 
 
 def _rows_per_source_file(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,7 +26,7 @@ SCHEMAS = {
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{str(folder).rstrip('/')}/{name}.parquet")
 
 
 def _word(name: str, n: int) -> Column:
@@ -56,7 +56,7 @@ def shop_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = (
         spark.readStream.schema(SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
+        .parquet(str(folder))
     )
     raw = as_shop_events(events, read_table(spark, folder, "part"))
     return raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
