@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptide.llm import common, line_runs, mil_toxicity, tree_bpe
+from shoptide.llm import (
+    common,
+    line_runs,
+    mil_toxicity,
+    minhash_containment,
+    rtree_jaccard,
+    tree_bpe,
+)
 from shoptide.llm.queries import RANKS, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that score 0.5 or more."""
@@ -24,6 +29,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest doc_id of each group of near duplicates."""
+    return rtree_jaccard.keep_first(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out documents that contain a benchmark item."""
+    return minhash_containment.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the token ids and their number."""
     path = public_tokenizers.path(RANKS)
@@ -31,7 +46,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ids.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
-STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("encode", encode)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", near_duplicates),
+    ("decontamination", decontaminate),
+    ("byte_bpe", encode),
+]
 
 #: A trained model decides in the first stage: SQL cannot say what it keeps.
 ORACLE_SQL = None

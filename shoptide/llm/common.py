@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 BLANK = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words whose hash a Python worker remembers; beyond it the memory starts anew.
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 20
 #: Bytes of text that are tokenised at once in a Python worker.
 CHUNK_BYTES = 1 << 22
 

@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptide.llm import line_runs, mil_toxicity, tree_bpe
+from shoptide.llm import (
+    debruijn_spans,
+    hilbert_shards,
+    line_runs,
+    link_trust,
+    mil_toxicity,
+    minhash_containment,
+    rtree_jaccard,
+    tree_bpe,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,12 +26,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return debruijn_spans.span_digests(table(spark, folder, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return mil_toxicity.toxicity_scores(
         table(spark, folder, "documents"), table(spark, folder, "labels")
     )
 
 
+def op4_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert_shards.shard_digests(table(spark, folder, "documents"))
+
+
+def op5_link_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return link_trust.url_verdicts(table(spark, folder, "pages"))
+
+
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return rtree_jaccard.joined(table(spark, folder, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_containment.find_leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     return tree_bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -34,11 +65,22 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_toxicity": op3_toxicity,
+        "op4_hilbert_shards": op4_hilbert_shards,
+        "op5_link_trust": op5_link_trust,
+        "op7_jaccard_join": op7_jaccard_join,
+        "op8_decontamination": op8_decontamination,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": line_runs.oracle()}
+    return {
+        "op2_substring_dedup": debruijn_spans.oracle(),
+        "op5_link_trust": link_trust.oracle(),
+        "op7_jaccard_join": rtree_jaccard.oracle(),
+        "op8_decontamination": minhash_containment.oracle(),
+        "op10_line_dedup": line_runs.oracle(),
+    }
