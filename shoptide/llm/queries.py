@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from shoptide.llm import (
     debruijn_spans,
     hilbert_shards,
+    hnsw_dedup,
     line_runs,
     link_trust,
     mil_toxicity,
     minhash_containment,
     rtree_jaccard,
+    secret_forest,
     tree_bpe,
 )
 
@@ -26,6 +28,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_forest.secret_findings(table(spark, folder, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn_spans.span_digests(table(spark, folder, "documents"))
 
@@ -44,6 +50,10 @@ def op5_link_trust(spark: SparkSession, folder: str) -> DataFrame:
     return link_trust.url_verdicts(table(spark, folder, "pages"))
 
 
+def op6_hnsw_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return rtree_jaccard.joined(table(spark, folder, "documents"))
 
@@ -65,10 +75,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_toxicity": op3_toxicity,
         "op4_hilbert_shards": op4_hilbert_shards,
         "op5_link_trust": op5_link_trust,
+        "op6_hnsw_dedup": op6_hnsw_dedup,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_decontamination": op8_decontamination,
         "op9_byte_bpe": op9_byte_bpe,
@@ -80,6 +92,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": debruijn_spans.oracle(),
         "op5_link_trust": link_trust.oracle(),
+        "op6_hnsw_dedup": hnsw_dedup.oracle(),
         "op7_jaccard_join": rtree_jaccard.oracle(),
         "op8_decontamination": minhash_containment.oracle(),
         "op10_line_dedup": line_runs.oracle(),
