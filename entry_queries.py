@@ -9,7 +9,6 @@ round.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -167,11 +166,7 @@ def _timed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _run_folder(spark: SparkSession) -> str:
-    """A fresh folder for one streaming run: in the cluster's shared folder, or, in local mode, where
-    every task runs on this machine, in the temporary one."""
-    local = spark.sparkContext.master.startswith("local")
-    if local and not spark.conf.get("spark.checkpoint.dir", None):
-        return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    """A fresh folder for one streaming run, in the folder that all executors share."""
     return shared_folder(spark, f"run-{uuid.uuid4().hex}")
 
 

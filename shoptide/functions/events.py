@@ -21,9 +21,9 @@ def is_purchase() -> Column:
 
 
 def has_valid_price() -> Column:
-    """A price above zero. NaN sorts above every number in Spark, so it is ruled out by name."""
+    """A finite price above zero. NaN and infinity sort above every number in Spark."""
     price = F.col("price")
-    return (price > 0) & ~F.isnan(price)
+    return (price > 0) & (price < float("inf"))
 
 
 def known_or_unknown(name: str) -> Column:

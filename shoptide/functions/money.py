@@ -1,7 +1,8 @@
-"""Money is summed in whole cents: the same total whatever the order of the rows.
+"""Money is summed in whole units of a fixed scale: the same total whatever the order of the rows.
 
-A sum of doubles depends on the order in which tasks finish. Prices carry at most two decimals, so a
-bigint of cents is exact, stays in hash aggregation and avoids a decimal object per row.
+A sum of doubles depends on the order in which tasks finish. Totals count whole cents, means count
+millionths, so that prices below a cent are not rounded away; both are bigints and need no decimal
+object per row.
 """
 
 from __future__ import annotations
@@ -10,21 +11,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _cents(price: Column) -> Column:
-    """Whole cents; a NaN price counts as missing, an infinite one raises."""
-    return F.when(~F.isnan(price), F.rint(price * 100).cast("bigint"))
+CENTS, MILLIONTHS = 100, 1_000_000
+
+
+def _units(price: Column, scale: int) -> Column:
+    """Whole units of a price; NaN and infinite prices count as missing."""
+    return F.when(F.abs(price) < float("inf"), F.rint(price * scale).cast("bigint"))
 
 
 def total_money(price: Column, where: Column | None = None) -> Column:
     """Exact sum of prices in dollars; rows outside ``where`` add nothing."""
-    cents = _cents(price) if where is None else F.when(where, _cents(price)).otherwise(0)
-    return F.sum(cents) / F.lit(100.0)
+    cents = _units(price, CENTS)
+    return F.sum(cents if where is None else F.when(where, cents).otherwise(0)) / F.lit(100.0)
 
 
 def average_money(price: Column) -> Column:
     """Mean of the prices that are there, in dollars."""
-    cents = _cents(price)
-    return F.try_divide(F.sum(cents) / F.lit(100.0), F.count(cents))
+    units = _units(price, MILLIONTHS)
+    return F.try_divide(F.sum(units) / F.lit(float(MILLIONTHS)), F.count(units))
 
 
 def money_total(total: Column) -> Column:

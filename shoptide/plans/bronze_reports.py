@@ -11,14 +11,10 @@ from shoptide.operators.profiles import duplicate_profile, null_profile
 from shoptide.operators.shares import share_of, top_k, value_counts, with_share
 
 
-def _all_rows(raw: DataFrame) -> DataFrame:
-    return raw.agg(F.count(F.lit(1)))
-
-
 def event_dist(raw: DataFrame) -> DataFrame:
     """Rows per event type, nulls left out, in percent of all rows."""
-    known = raw.where(F.col("event_type").isNotNull())
-    counts = with_share(value_counts(known, "event_type"), "n", "pct", _all_rows(raw))
+    counts = with_share(value_counts(raw, "event_type"), "n", "pct")
+    counts = counts.where(F.col("event_type").isNotNull())
     return counts.orderBy(F.col("n").desc(), "event_type")
 
 

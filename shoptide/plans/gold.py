@@ -9,9 +9,8 @@ from shoptide import fixed_values as fixed
 from shoptide.functions import (
     calendar_date,
     hour_band,
-    is_purchase,
     on_weekend,
-    total_money,
+    money_total,
 )
 from shoptide.operators.metrics import DISTINCTS, MEASURES, RATIOS, fact
 from shoptide.operators.shares import share_of
@@ -66,10 +65,11 @@ def gold_category(
     """One row per first-level category, highest revenue first."""
     rows = with_category(silver, exclude)
     categories = fact(rows, ["category_l1"], _measured(GOLD_CATEGORY.names), exact)
-    totals = rows.agg(
+    # Summed over the categories, not over the events: money is exact.
+    totals = categories.agg(
         F.struct(
-            total_money(F.col("price"), where=is_purchase()).alias("revenue"),
-            F.count_if(is_purchase()).alias("purchases"),
+            money_total(F.col("total_revenue")).alias("revenue"),
+            F.sum("total_purchases").alias("purchases"),
         )
     ).scalar()
     shares = {

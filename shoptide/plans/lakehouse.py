@@ -4,15 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shoptide.operators.cleaning import keep_valid_prices
 from shoptide.operators.enrichment import add_calendar_parts
 from shoptide.plans.gold import gold_category, gold_daily, gold_hourly
 from shoptide.plans.silver import silver_events
 from shoptide.sources.raw_csv import read_raw_csv
-from shoptide.sources.tables import between_days, read_events, write_events, write_fact
+from shoptide.sources.tables import (
+    DAY_PARTITIONS,
+    SOURCE_PARTITION,
+    between_days,
+    read_events,
+    write_events,
+    write_fact,
+)
 
 
 @dataclass(frozen=True)
@@ -27,9 +37,11 @@ class WriteStats:
         return self.rows / self.seconds if self.seconds else 0.0
 
 
-def _timed_write(df: DataFrame, path: str, mode: str) -> WriteStats:
+def _timed_write(
+    df: DataFrame, path: str, mode: str, partitions: Sequence[str] = DAY_PARTITIONS
+) -> WriteStats:
     start = time.monotonic()
-    rows = write_events(df, path, mode)
+    rows = write_events(df, path, mode, partitions)
     return WriteStats(rows=rows, seconds=time.monotonic() - start)
 
 
@@ -38,10 +50,12 @@ def ingest_csv(
 ) -> WriteStats:
     """CSV files to Bronze, in one job.
 
-    Overwriting replaces whole days. Files that share a day belong into one call, or into calls with
-    ``mode="append"``.
+    A file's rows of a day are what is replaced: files that share a day keep beside each other, over
+    one call or several, and a file that comes again neither doubles nor drops anything.
     """
-    return _timed_write(add_calendar_parts(read_raw_csv(spark, csv_paths)), bronze, mode)
+    key = F.concat(F.lit("f"), F.hex(F.xxhash64(F.input_file_name()))).alias(SOURCE_PARTITION)
+    events = add_calendar_parts(read_raw_csv(spark, csv_paths).select("*", key))
+    return _timed_write(events, bronze, mode, (*DAY_PARTITIONS, SOURCE_PARTITION))
 
 
 def build_silver(
@@ -59,7 +73,22 @@ def build_silver(
     # Listed once, however many files there are.
     everything = read_events(spark, bronze)
     chosen = between_days(everything, first, last)
-    return _timed_write(silver_events(chosen, evidence=everything), silver, "overwrite")
+    stats = _timed_write(silver_events(chosen, evidence=everything), silver, "overwrite")
+    _empty_days(spark, keep_valid_prices(chosen), silver, first, last)
+    return stats
+
+
+def _empty_days(
+    spark: SparkSession, rows: DataFrame, path: str, first: dt.date | None, last: dt.date | None
+) -> None:
+    """Days of the range that the table holds although no row belongs there any more become empty."""
+    written = between_days(spark.read.parquet(path), first, last).select(*DAY_PARTITIONS).distinct()
+    stale = written.join(rows.select(*DAY_PARTITIONS).distinct(), list(DAY_PARTITIONS), "left_anti")
+    nothing = spark.read.parquet(path).drop(*DAY_PARTITIONS).limit(0)
+    for day in stale.collect():  # days, not events
+        folder = "/".join(f"{name}={day[name]}" for name in DAY_PARTITIONS)
+        options = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        options.parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:

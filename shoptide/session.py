@@ -47,8 +47,8 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A folder below the one the cluster names in ``spark.checkpoint.dir``."""
+    """A folder below the one the cluster names in ``spark.checkpoint.dir``, or, where it names none,
+    below the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir is not set: name a folder every executor can reach")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{name}"

@@ -87,7 +87,7 @@ def as_shop_events(events: DataFrame, part: DataFrame) -> DataFrame:
     )
     # No broadcast hint: Spark broadcasts `part` only when its real size allows it, and splits a hot
     # product over many tasks otherwise.
-    joined = rows.join(products, F.col("product_id") == F.col("part_id"))
+    joined = rows.join(products, F.col("product_id") == F.col("part_id"), "left")
     return (
         joined.withColumn("category_id", F.col("product_id") % 13)
         .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))

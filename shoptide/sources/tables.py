@@ -13,6 +13,8 @@ from shoptide.functions import calendar_date
 from shoptide.schemas import CALENDAR_PARTS
 
 DAY_PARTITIONS = tuple(CALENDAR_PARTS.names)
+#: Below the day, Bronze is split by the file its rows came from.
+SOURCE_PARTITION = "source_key"
 
 
 def read_events(
@@ -20,10 +22,12 @@ def read_events(
 ) -> DataFrame:
     """Bronze or Silver events of all days, or of ``first`` to ``last``.
 
-    The day filter holds only partition columns: folders outside the range are never listed as
-    input, and days without a folder are simply not there.
+    The day filter holds only partition columns: the tree is listed once, files outside the range are
+    not read, and days without a folder are simply not there. The folder level that tells source files
+    apart is not a column of the table.
     """
-    return between_days(_microseconds(spark.read.parquet(path)), first, last)
+    events = spark.read.parquet(path).drop(SOURCE_PARTITION)
+    return between_days(_microseconds(events), first, last)
 
 
 def between_days(df: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoptide.schemas import RAW
 
@@ -34,7 +35,26 @@ def read_topic_stream(
     return decode_messages(messages)
 
 
+def _parsed(messages: DataFrame) -> DataFrame:
+    """The messages with ``event``, and ``event._bad`` where the text does not fit the schema."""
+    event = F.from_json(
+        F.col("value").cast("string"), T.StructType([*RAW.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}
+    )
+    return messages.withColumn("event", event)
+
+
+def _fits() -> Column:
+    return F.col("event").isNotNull() & F.col("event._bad").isNull()
+
+
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """Raw events from JSON messages in a binary or text column ``value``."""
-    event = F.from_json(F.col("value").cast("string"), RAW)
-    return messages.select(event.alias("event")).select("event.*")
+    """Raw events from JSON messages in a binary or text column ``value``.
+
+    Messages that do not fit are not here but in ``rejected_messages``.
+    """
+    return _parsed(messages).where(_fits()).select(*(f"event.{c}" for c in RAW.names))
+
+
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """The messages, as they came, that are no JSON or have a field of another type."""
+    return _parsed(messages).where(~_fits()).select(*messages.columns)

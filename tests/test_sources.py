@@ -90,6 +90,27 @@ def test_bronze_round_trip_and_statistics(spark, csv_folder, tmp_path):
     assert key(df) == key(edge_frame(spark))
 
 
+def test_files_that_share_a_day_stay_beside_each_other(spark, csv_folder, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    lines = [csv_line(row) for row in EDGE]
+    (csv_folder / "one.csv").write_text("\n".join([HEADER, *lines[:1]]) + "\n")
+    (csv_folder / "two.csv").write_text("\n".join([HEADER, *lines[:2]]) + "\n")
+    for name in ("one", "two", "one"):
+        lakehouse.ingest_csv(spark, f"{csv_folder}/{name}.csv", bronze)
+    assert read_events(spark, bronze).count() == 3
+
+
+def test_a_day_without_rows_vanishes_from_silver(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    write_events(add_calendar_parts(edge_frame(spark)), bronze)
+    lakehouse.build_silver(spark, bronze, silver)
+    before = read_events(spark, silver).where("day = 5").count()
+    write_events(add_calendar_parts(events(spark, [("10-05 00:00:00",)]).withColumn("price", F.lit(0.0))), bronze)
+    lakehouse.build_silver(spark, bronze, silver, dt.date(2019, 10, 5), dt.date(2019, 10, 5))
+    found = read_events(spark, silver)
+    assert before == 1 and found.where("day = 5").count() == 0 and found.count() == 7
+
+
 def test_bronze_append(spark, tmp_path):
     path = str(tmp_path / "bronze")
     df = add_calendar_parts(edge_frame(spark))

@@ -172,6 +172,16 @@ def test_messages(spark):
     )
 
 
+def test_messages_that_do_not_fit_are_kept_apart(spark):
+    rows = [(b"no json", 1), (b'{"product_id": "x", "event_type": "cart"}', 2), (None, 3)]
+    rows += [(b'{"event_type": "cart", "price": 1.5}', 4)]
+    raw = spark.createDataFrame([(bytearray(v) if v else None, k) for v, k in rows], "value BINARY, k INT")
+    assert [r.price for r in sources.decode_messages(raw).collect()] == [1.5]
+    rejected = sources.rejected_messages(raw)
+    assert rejected.columns == ["value", "k"]
+    assert sorted(r.k for r in rejected.collect()) == [1, 2, 3]
+
+
 def test_checkpoints_need_a_shared_folder(spark):
     from shoptide.session import shared_folder
 
