@@ -11,9 +11,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import entry_oracle
+import entry_queries
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = entry_queries.queries()
+ORACLE = entry_oracle.oracle_sql()
 WITHOUT_SQL = {"storage_layout"}
 
 TYPES = {
@@ -53,6 +55,7 @@ def duck(sf001):
 
 
 def test_keys_match():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
 
