@@ -748,9 +748,20 @@ _EXTRA = {
 }
 
 
+#: What is read back from a written layer is what its query computes.
+_READ_BACK = {
+    "csv_round_trip": "bronze_partitions",
+    "bronze_written": "bronze_partitions",
+    "silver_written": "silver_events",
+    "gold_daily_written": "gold_daily",
+    "gold_hourly_written": "gold_hourly",
+    "gold_category_written": "gold_category",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     texts = {}
     for name, body in _bodies().items():
         extra = f", {_EXTRA[name]}\n" if name in _EXTRA else ""
         texts[name] = f"{_SHARED.rstrip()}{extra}\n{body}"
-    return texts
+    return texts | {name: texts[same] for name, same in _READ_BACK.items()}

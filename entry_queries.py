@@ -24,13 +24,13 @@ from shoptide.plans import bronze_reports as bronze
 from shoptide.plans import category_reports as by_category
 from shoptide.plans import daily_reports as by_day
 from shoptide.plans import dimensions
-from shoptide.plans import gold
+from shoptide.plans import gold, lakehouse
 from shoptide.plans import hourly_reports as by_hour
 from shoptide.plans import silver as silver_plan
 from shoptide.plans import silver_reports as quality
 from shoptide.plans.periods import Period
 from shoptide.session import shared_folder
-from shoptide.sources import layout
+from shoptide.sources import layout, tables
 from shoptide.sources.driver_tables import read_table, shop_event_stream, shop_events
 from shoptide.streaming import jobs, sinks
 
@@ -170,6 +170,41 @@ def _run_folder(spark: SparkSession) -> str:
     return shared_folder(spark, f"run-{uuid.uuid4().hex}")
 
 
+def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All events through CSV files into Bronze. The files share their days and come in two calls,
+    one of them twice."""
+    root, raw = _run_folder(spark), _raw(spark, folder)
+    text = raw.withColumn("event_time", F.concat(F.col("event_time").cast("string"), F.lit(" UTC")))
+    for part in (0, 1):
+        rows = text.where(F.pmod(F.xxhash64("user_session"), F.lit(2)) == part)
+        rows.select(*schemas.RAW.names).write.option("header", True).csv(f"{root}/csv/{part}")
+    for part in (0, 1, 0):
+        lakehouse.ingest_csv(spark, f"{root}/csv/{part}", f"{root}/bronze")
+    found = tables.read_events(spark, f"{root}/bronze")
+    return found.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def _written_silver(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Bronze and Silver tables of all events: their folders."""
+    root = _run_folder(spark)
+    tables.write_events(_bronze_partitions(spark, folder), f"{root}/bronze")
+    lakehouse.build_silver(spark, f"{root}/bronze", f"{root}/silver")
+    return f"{root}/bronze", f"{root}/silver"
+
+
+def _written_layer(layer: int) -> Query:
+    return lambda spark, folder: tables.read_events(spark, _written_silver(spark, folder)[layer])
+
+
+def _written_fact(name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        silver = _written_silver(spark, folder)[1]
+        lakehouse.build_gold(spark, silver, f"{silver}-gold")
+        return spark.read.parquet(f"{silver}-gold/{name}")
+
+    return run
+
+
 def _streamed(
     job: Callable[[DataFrame], DataFrame], columns: list[str], complete: bool = False
 ) -> Query:
@@ -218,6 +253,13 @@ def queries() -> dict[str, Query]:
         "rows_per_source_file": _rows_per_source_file,
         "row_estimate": _over(_source_tables, layout.row_estimate),
         "storage_layout": _over(_source_tables, layout.storage_layout),
+        # Written layers, read back
+        "csv_round_trip": _csv_round_trip,
+        "bronze_written": _written_layer(0),
+        "silver_written": _written_layer(1),
+        "gold_daily_written": _written_fact("fact_daily_metrics"),
+        "gold_hourly_written": _written_fact("fact_hourly_metrics"),
+        "gold_category_written": _written_fact("fact_category_metrics"),
         # Silver transforms
         "clean_price_filter": _over(_raw, cleaning.keep_valid_prices),
         "clean_fill_nulls": _fill_nulls,
