@@ -346,6 +346,12 @@ _SILVER_TYPES = {
 }
 
 
+def _closed(source: str, end: str, body: str) -> str:
+    """What a stream has handed out: windows and visits that the watermark has passed."""
+    return f"""SELECT * FROM ({body})
+        WHERE {end} <= (SELECT max(event_time) FROM {source}) - INTERVAL 10 MINUTE"""
+
+
 def _bodies() -> dict[str, str]:
     sides = f"SELECT {_side('before', _FIRST)}, {_side('after', _SECOND)} FROM daily"
     totals = f"""SELECT {_big('total_events')} AS total_events, {_big('total_purchases')} AS total_purchases,
@@ -718,21 +724,21 @@ def _bodies() -> dict[str, str]:
           year(event_time)::INTEGER AS year, month(event_time)::INTEGER AS month,
           day(event_time)::INTEGER AS day FROM filled""",
         "stream_dedup": f"SELECT DISTINCT {_RAW} FROM raw",
-        "stream_hourly_windows": _windows(
+        "stream_hourly_windows": _closed("valid", "window_end", _windows(
             "valid", "date_trunc('hour', event_time)::TIMESTAMP",
             """CASE WHEN hour(window_start) < 6 THEN 'madrugada' WHEN hour(window_start) < 12 THEN 'mañana'
                WHEN hour(window_start) < 18 THEN 'tarde' ELSE 'noche' END AS time_of_day,""",
-        ),
+        )),
         "stream_daily_upsert": f"SELECT {daily_columns} FROM daily",
-        "stream_sliding_traffic": _windows("raw", _QUARTERS),
-        "stream_user_sessions": """SELECT user_id, min(event_time) AS visit_start,
+        "stream_sliding_traffic": _closed("raw", "window_end", _windows("raw", _QUARTERS)),
+        "stream_user_sessions": _closed("raw", "visit_end", """SELECT user_id, min(event_time) AS visit_start,
             max(event_time) + INTERVAL 30 MINUTE AS visit_end, count(*) AS total_events,
             count(*) FILTER (WHERE event_type = 'purchase') AS total_purchases
           FROM (SELECT *, sum(CASE WHEN event_time < last_time + INTERVAL 30 MINUTE THEN 0 ELSE 1 END)
                   OVER (PARTITION BY user_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS visit
                 FROM (SELECT *, lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time)
                         AS last_time FROM raw))
-          GROUP BY user_id, visit""",
+          GROUP BY user_id, visit"""),
         "stream_running_stage": """SELECT user_id, product_id,
           CASE max(CASE event_type WHEN 'purchase' THEN 2 WHEN 'cart' THEN 1 ELSE 0 END)
             WHEN 2 THEN 'purchased' WHEN 1 THEN 'added_to_cart' ELSE 'viewed_only' END AS conversion_stage

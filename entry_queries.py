@@ -417,14 +417,14 @@ def queries() -> dict[str, Query]:
         ),
         "stream_dedup": _streamed(jobs.dedup, schemas.RAW.names),
         "stream_hourly_windows": _streamed(
-            _stream_hours, ["window_start", "window_end", "time_of_day", *window_measures], True
+            _stream_hours, ["window_start", "window_end", "time_of_day", *window_measures]
         ),
         "stream_sliding_traffic": _streamed(
-            jobs.sliding_traffic, ["window_start", "window_end", *window_measures], True
+            jobs.sliding_traffic, ["window_start", "window_end", *window_measures]
         ),
         "stream_user_sessions": _streamed(
             jobs.user_sessions,
-            ["user_id", "visit_start", "visit_end", "total_events", "total_purchases"], True,
+            ["user_id", "visit_start", "visit_end", "total_events", "total_purchases"],
         ),
         "stream_daily_upsert": _daily_upsert,
         "stream_running_stage": _streamed(
