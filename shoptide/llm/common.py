@@ -18,6 +18,8 @@ BLANK = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words whose hash a Python worker remembers; beyond it the memory starts anew.
 CACHED_WORDS = 1 << 20
+#: Bits of the bitmap that tells which rows may be needed, before they are shuffled.
+BITMAP_SLOTS = 1 << 27
 #: Bytes of text that are tokenised at once in a Python worker.
 CHUNK_BYTES = 1 << 22
 
@@ -38,6 +40,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def maybe_among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose 64-bit ``key`` may be among ``wanted`` (one column of keys), found before a
+    shuffle: every task knows a bitmap of ``BITMAP_SLOTS`` bits over the wanted keys, 16 MB at any
+    size of the data. No wanted row is missing; rows that share a bit pass too, so a join follows."""
+    slot = lambda c: F.pmod(c, F.lit(BITMAP_SLOTS)) + 1
+    slots = wanted.select(slot(F.col(wanted.columns[0])).alias("slot"))
+    bits = slots.groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits")
+    )
+    place = F.bitmap_bit_position(slot(F.col(key)))
+    byte = F.substring(F.col("_bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+    bit = F.pow(F.lit(2), F.pmod(place, F.lit(8))).cast("int")
+    known = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(bit) != 0
+    passing = df.withColumn("_at", F.bitmap_bucket_number(slot(F.col(key)))).join(
+        F.broadcast(bits), F.col("_at") == F.col("_bucket")
+    )
+    return passing.where(known).select(*df.columns)
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z in lower case, all else unchanged."""
     return F.translate(c, UPPER, LOWER)

@@ -31,7 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoptide.llm.common import WordHashes, cut, text_bytes, window_hashes, word_runs
+from shoptide.llm.common import (
+    WordHashes,
+    cut,
+    maybe_among,
+    text_bytes,
+    window_hashes,
+    word_runs,
+)
 
 SPAN = 35
 #: Words of an edge.
@@ -188,34 +195,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     words left, only where a part goes) and kept_sha256."""
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key, "text")
-    rows = cut(keyed.mapInArrow(_edges, EDGES))
+    rows = keyed.mapInArrow(_edges, EDGES).withColumn("rid", F.monotonically_increasing_id())
+    rows = cut(rows)
 
-    # One content per sequence of words.
-    first = lambda c: F.first(c).alias(c)
+    # One content per sequence of words, that of its first row.
     contents = rows.where(f"n_words >= {SPAN}").groupBy("d1", "d2").agg(
-        F.count("*").cast("int").alias("copies"),
-        F.min_by(F.struct("doc_id", "text_key"), F.struct("doc_id", "text_key")).alias("source"),
-    )
-    contents = cut(contents.withColumn("cid", F.monotonically_increasing_id()))
-    own = rows.where(f"n_words >= {SPAN}").select(
-        "d1", "d2", F.struct("doc_id", "text_key").alias("own"), "edges", "places"
+        F.count("*").cast("int").alias("copies"), F.min("rid").alias("cid")
     )
-    sources = own.join(contents, ["d1", "d2"]).where(F.col("own").eqNullSafe(F.col("source")))
-    # Rows that agree in id and text stand for one source; they only occur where copies > 1.
-    lists = cut(sources.select("cid", "copies", "edges", "places"))
+    contents = cut(contents)
 
     # Repeated edges, back at their places.
-    edges = lists.select("copies", F.explode("edges").alias("edge"))
-    often = edges.groupBy("edge").agg(F.sum("copies").alias("n")).where("n >= 2").select("edge")
-    at = lists.select("cid", F.explode(F.arrays_zip("edges", "places")).alias("e"))
-    at = at.select("cid", F.col("e.edges").alias("edge"), F.col("e.places").alias("place"))
-    marks = at.join(often, "edge").groupBy("cid").agg(F.collect_list("place").alias("marks"))
-    marked = marks.join(contents.select("cid", "copies", "source"), "cid").select(
-        "cid", "copies", "marks",
-        F.col("source.doc_id").alias("_doc"), F.col("source.text_key").alias("_key"),
+    at = rows.select("rid", F.explode(F.arrays_zip("edges", "places")).alias("e"))
+    at = at.select("rid", F.col("e.edges").alias("edge"), F.col("e.places").alias("place"))
+    often = at.groupBy("edge").agg(F.count("*").alias("n")).where("n >= 2").select("edge")
+    marks = at.join(often, "edge").groupBy("rid").agg(F.collect_list("place").alias("marks"))
+    sources = contents.select("copies", "cid").join(
+        rows.select(F.col("rid").alias("cid"), F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")),
+        "cid",
     )
+    marked = cut(marks.withColumnRenamed("rid", "cid").join(sources, "cid"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
-    texts = cut(keyed.join(marked, same).select("cid", "copies", "text", "marks"))
+    # Rows that agree in id and text stand for one source; they only occur where copies > 1.
+    passing = maybe_among(keyed, "text_key", marked.select("_key"))
+    texts = passing.join(marked, same).select("cid", "copies", "text", "marks")
+    texts = cut(texts)
 
     # Windows on repeated edges, counted, and back at their places.
     windows = texts.mapInArrow(_windows, WINDOWS)
@@ -225,7 +228,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     parts = texts.where("copies = 1").select("cid", "text").join(places, "cid")
     parts = cut(parts.mapInArrow(_cut_out, CUT_OUT))
 
-    judged = rows.drop("edges", "places").join(
+    judged = rows.drop("edges", "places", "rid").join(
         contents.select("d1", "d2", "cid", "copies"), ["d1", "d2"], "left"
     ).join(parts, "cid", "left")
     whole = F.coalesce(F.col("copies") > 1, F.lit(False))
