@@ -121,6 +121,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     gold = steps.add_parser("gold", help="Silver to the three fact tables")
     gold.add_argument("silver")
     gold.add_argument("gold")
+    gold.add_argument("--approximate", action="store_true", help="estimate distinct counts")
     shown = steps.add_parser("report", help="show a report over a table")
     shown.add_argument("name", choices=sorted({*FACT_REPORTS, *EVENT_REPORTS}), metavar="name")
     shown.add_argument("path")
@@ -147,7 +148,8 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(f"{stats.rows} rows in {stats.seconds:.1f} s, {stats.rows_per_second:.0f} rows/s")
     elif chosen.step == "gold":
-        for name, rows in lakehouse.build_gold(spark, chosen.silver, chosen.gold).items():
+        facts = lakehouse.build_gold(spark, chosen.silver, chosen.gold, not chosen.approximate)
+        for name, rows in facts.items():
             print(f"{name}: {rows} rows")
     else:
         report(spark, chosen.name, chosen.path).show(chosen.rows, truncate=False)

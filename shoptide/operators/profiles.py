@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptide import fixed_values as fixed
-from shoptide.operators.quantiles import exact_quantiles
+from shoptide.operators.quantiles import SLICES, exact_quantiles
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -60,8 +60,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample deviation, min, exact quartiles and max of each numeric column."""
+def describe_numeric(
+    df: DataFrame, columns: Sequence[str] | None = None, slices: int = SLICES
+) -> DataFrame:
+    """count, mean, sample deviation, min, exact quartiles and max of each numeric column.
+
+    ``slices`` tasks at most rank the distinct values of a column.
+    """
     names = list(columns) if columns is not None else numeric_columns(df)
     long = df.select(*(F.col(c).cast("double").alias(c) for c in names)).unpivot(
         [], names, "column_name", "value"
@@ -74,7 +79,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    quartiles = exact_quantiles(df, names, (0.25, 0.5, 0.75))
+    quartiles = exact_quantiles(df, names, (0.25, 0.5, 0.75), slices)
     # Both sides have one row per column name.
     return moments.join(quartiles, "column_name", "left").select(
         "column_name",
@@ -89,9 +94,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
-def price_stats(df: DataFrame) -> DataFrame:
+def price_stats(df: DataFrame, slices: int = SLICES) -> DataFrame:
     """Price: count, min, max, mean, sample deviation and exact median."""
-    stats = describe_numeric(df, ["price"])
+    stats = describe_numeric(df, ["price"], slices)
     return stats.select(
         F.col("n").alias("prices"),
         F.col("min").alias("min_price"),

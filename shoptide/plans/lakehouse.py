@@ -91,14 +91,17 @@ def _empty_days(
         options.parquet(f"{path.rstrip('/')}/{folder}")
 
 
-def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:
-    """The three facts from Silver; rows per fact, read back."""
+def build_gold(
+    spark: SparkSession, silver: str, gold: str, exact: bool = True
+) -> dict[str, int]:
+    """The three facts from Silver; rows per fact, read back. Without ``exact``, distinct counts are
+    HyperLogLog estimates, which need a single pass."""
     events = read_events(spark, silver)
     root = gold.rstrip("/")
     return {
-        "fact_daily_metrics": write_fact(gold_daily(events), f"{root}/fact_daily_metrics", 1),
-        "fact_hourly_metrics": write_fact(gold_hourly(events), f"{root}/fact_hourly_metrics"),
+        "fact_daily_metrics": write_fact(gold_daily(events, exact), f"{root}/fact_daily_metrics", 1),
+        "fact_hourly_metrics": write_fact(gold_hourly(events, exact), f"{root}/fact_hourly_metrics"),
         "fact_category_metrics": write_fact(
-            gold_category(events), f"{root}/fact_category_metrics", 1
+            gold_category(events, exact), f"{root}/fact_category_metrics", 1
         ),
     }

@@ -12,17 +12,28 @@ FINE_PARTITIONS = 20_000
 LARGEST_PARTITION_BYTES = 2 * GB
 
 
-def shuffle_partitions(input_bytes: int) -> int:
+def shuffle_partitions(
+    input_bytes: int,
+    partition_bytes: int = PARTITION_BYTES,
+    fine_partitions: int = FINE_PARTITIONS,
+    largest_bytes: int = LARGEST_PARTITION_BYTES,
+) -> int:
     """Partitions to start a shuffle of ``input_bytes`` with.
 
     About 128 MB each, up to 20,000 partitions; beyond that partitions grow instead, to 2 GB at most,
     since the blocks of a shuffle are map tasks times partitions. Sorts and aggregates spill.
     """
-    fine = math.ceil(input_bytes / PARTITION_BYTES)
-    return max(1, min(fine, FINE_PARTITIONS), math.ceil(input_bytes / LARGEST_PARTITION_BYTES))
+    fine = math.ceil(input_bytes / partition_bytes)
+    return max(1, min(fine, fine_partitions), math.ceil(input_bytes / largest_bytes))
 
 
-def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+def configure(
+    spark: SparkSession,
+    input_bytes: int | None = None,
+    partition_bytes: int = PARTITION_BYTES,
+    fine_partitions: int = FINE_PARTITIONS,
+    largest_bytes: int = LARGEST_PARTITION_BYTES,
+) -> SparkSession:
     """Pin calendar functions to UTC and make table writes replace only the partitions they touch.
 
     With ``input_bytes``, the size of what will be shuffled, the number of partitions AQE starts from
@@ -37,12 +48,13 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     if input_bytes is not None:
         wanted = max(
-            shuffle_partitions(input_bytes), int(spark.conf.get("spark.sql.shuffle.partitions"))
+            shuffle_partitions(input_bytes, partition_bytes, fine_partitions, largest_bytes),
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
         )
         coalesce = "spark.sql.adaptive.coalescePartitions"
         spark.conf.set(f"{coalesce}.initialPartitionNum", str(wanted))
         spark.conf.set(f"{coalesce}.parallelismFirst", "false")
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
     return spark
 
 
