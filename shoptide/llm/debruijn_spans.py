@@ -204,11 +204,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     contents = cut(contents)
 
-    # Repeated edges, back at their places.
-    at = rows.select("rid", F.explode(F.arrays_zip("edges", "places")).alias("e"))
-    at = at.select("rid", F.col("e.edges").alias("edge"), F.col("e.places").alias("place"))
-    often = at.groupBy("edge").agg(F.count("*").alias("n")).where("n >= 2").select("edge")
-    marks = at.join(often, "edge").groupBy("rid").agg(F.collect_list("place").alias("marks"))
+    # Repeated edges, counted per map task first, and back at their places in one row per content.
+    def placed(some: DataFrame) -> DataFrame:
+        each = some.select("rid", F.explode(F.arrays_zip("edges", "places")).alias("e"))
+        return each.select("rid", F.col("e.edges").alias("edge"), F.col("e.places").alias("place"))
+
+    often = placed(rows).groupBy("edge").agg(F.count("*").alias("n")).where("n >= 2").select("edge")
+    first = maybe_among(
+        rows.withColumn("_rid", F.xxhash64("rid")), "_rid", contents.select(F.xxhash64("cid"))
+    )
+    marks = placed(first).join(often, "edge").groupBy("rid").agg(F.collect_list("place").alias("marks"))
     sources = contents.select("copies", "cid").join(
         rows.select(F.col("rid").alias("cid"), F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")),
         "cid",
