@@ -15,7 +15,7 @@ goes by hash. All documents that have a shingle among their first form a bucket,
 same members are one.
 
 Only who is reachable matters, so a bucket is never expanded into pairs: each member is linked to the
-first earlier one its bound allows (a star), the pairs are verified and joined to components, and
+likeliest earlier one its bound allows (a star), the pairs are verified and joined to components, and
 then only pairs across components are searched again, a few per member and more in each round, until
 no bucket holds a pair that is neither verified nor within one component. A bucket beyond
 ``TILE_ROWS`` members is dealt over tiles; the smallest member and those outside its component, the
@@ -37,13 +37,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoptide.llm.common import WordHashes, components, cut, text_bytes, window_hashes, word_runs
+from shoptide.llm.common import (
+    WordHashes,
+    components,
+    cut,
+    maybe_among,
+    text_bytes,
+    window_hashes,
+    word_runs,
+)
 
 SHINGLE_WORDS = 5
 #: Jaccard similarity in hundredths from which two documents link.
 THRESHOLD = 80
 #: Groups of shingles: the dimensions of a point.
 GROUPS = 64
+#: Groups of the finer counts that pairs are held against before their sets are fetched, at most.
+MAX_FINE = 1 << 14
 #: Slots of the sketch of shingle counts; a slot is heavy from this many deviations above the mean.
 SLOTS, SLICES, HEAVY_DEVIATIONS, HEAVY_LEAST = 1 << 20, 64, 12, 64
 #: Members of a bucket that one tree holds, about.
@@ -77,9 +87,16 @@ FOUND = T.StructType(
         T.StructField("a", T.LongType()),
         T.StructField("b", T.LongType()),
         T.StructField("more", T.BooleanType()),
+        T.StructField("bound", T.DoubleType()),
+    ]
+)
+SETS = T.StructType(
+    [
+        T.StructField("cid", T.LongType()),
+        T.StructField("set", T.BinaryType()),
+        T.StructField("fine", T.BinaryType()),
     ]
 )
-SETS = T.StructType([T.StructField("cid", T.LongType()), T.StructField("set", T.BinaryType())])
 
 
 def shingle_sets(texts: list[bytes], cache: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -180,7 +197,8 @@ def _second_pass(heavy: bytes):
                         order = np.concatenate([order, s[late]])
                     heads.append((order[:want] >> np.uint64(16)).astype(np.int64))
                     at = (s & np.uint64(GROUPS - 1)).astype(np.int64)
-                    points.append(np.bincount(at, minlength=GROUPS).astype("<u4").tobytes())
+                    counts = np.bincount(at, minlength=GROUPS)
+                    points.append(counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes())
                 ends = np.zeros(len(sets) + 1, np.int32)
                 np.cumsum([len(h) for h in heads], out=ends[1:])
                 yield pa.RecordBatch.from_arrays(
@@ -240,20 +258,28 @@ def search_bucket(cids, comps, points, strays, most: int):
     if len(cids) < 2 or (comps == comps[0]).all():
         return pairs, left
     tree = RTree(points) if len(cids) > LEAF else None
+    sizes = points.sum(1)
     ask = np.flatnonzero(strays) if strays.any() else np.arange(len(cids))
     for i in ask:
         if tree is None:
             shared = np.minimum(points, points[i]).sum(1)
-            sizes = points.sum(1)
             near = np.flatnonzero((100 + THRESHOLD) * shared >= THRESHOLD * (sizes + sizes[i]))
         else:
             near = tree.within(points[i])
         near = near[comps[near] != comps[i]]
         # Of members that both ask, the later one does.
         near = near[(cids[near] < cids[i]) | ~strays[near]] if strays.any() else near[cids[near] < cids[i]]
-        if len(near) > most:
-            near, left = near[np.argsort(cids[near])[:most]], True
-        pairs += [(int(min(cids[i], cids[j])), int(max(cids[i], cids[j]))) for j in near]
+        if not len(near):
+            continue
+        shared = np.minimum(points[near], points[i]).sum(1)
+        bound = shared / (sizes[near] + sizes[i] - shared)
+        if len(near) > most:  # the likeliest first
+            best = np.lexsort((cids[near], -bound))[:most]
+            near, bound, left = near[best], bound[best], True
+        pairs += [
+            (int(min(cids[i], cids[j])), int(max(cids[i], cids[j])), float(x))
+            for j, x in zip(near, bound)
+        ]
     return pairs, left
 
 
@@ -267,14 +293,14 @@ def _search(most: int):
         return search_bucket(
             cids,
             np.array([r[3] for r in rows], np.int64),
-            np.frombuffer(b"".join(r[5] for r in rows), "<u4").reshape(-1, GROUPS).astype(np.int64),
+            np.array([np.frombuffer(r[5], f"<u{len(r[5]) // GROUPS}") for r in rows], np.int64),
             np.array([r[4] for r in rows], bool),
             most,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        known: set[tuple[int, int]] = set()
+        known: set[tuple[int, int, float]] = set()
 
         def out(found, left):
             fresh = [p for p in dict.fromkeys(found) if p not in known]
@@ -287,6 +313,7 @@ def _search(most: int):
                     pa.array([p[0] for p in fresh], pa.int64()),
                     pa.array([p[1] for p in fresh], pa.int64()),
                     pa.array(more, pa.bool_()),
+                    pa.array([p[2] for p in fresh], pa.float64()),
                 ],
                 names=FOUND.names,
             )
@@ -310,6 +337,35 @@ def _search(most: int):
     return run
 
 
+def fine_point(hashes: np.ndarray) -> np.ndarray:
+    """Counts over as many groups as tell sets of this size apart, a power of two: about four
+    shingles a group. Counts of half as many groups are sums of two halves."""
+    groups = GROUPS
+    while groups * 4 < len(hashes) and groups < MAX_FINE:
+        groups *= 2
+    return np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype("<u2")
+
+
+def bound_of(x: np.ndarray, y: np.ndarray) -> int:
+    """At most this many shingles are in both."""
+    x, y = x.astype(np.int64), y.astype(np.int64)
+    if len(x) > len(y):
+        x, y = y, x
+    return int(np.minimum(x, y.reshape(-1, len(x)).sum(0)).sum())
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that the fine counts still allow."""
+    for batch in batches:
+        kept = []
+        for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+            x, y = np.frombuffer(x.as_buffer(), "<u2"), np.frombuffer(y.as_buffer(), "<u2")
+            sizes = int(x.sum(dtype=np.int64) + y.sum(dtype=np.int64))
+            if (100 + THRESHOLD) * bound_of(x, y) >= THRESHOLD * sizes:
+                kept.append(i)
+        yield batch.select([0, 1]).take(pa.array(kept, pa.int32()))
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
     for batch in batches:
@@ -318,6 +374,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     batch.column(0).slice(first, len(sets)),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([fine_point(s).tobytes() for s in sets], pa.binary()),
                 ],
                 names=SETS.names,
             )
@@ -344,41 +401,48 @@ def classes(docs: DataFrame) -> DataFrame:
     source = F.struct("doc_id", "text_key")
     own = rows.where("n > 0").groupBy("d1", "d2").agg(F.min(source).alias("source"))
     own = cut(
-        own.select(
-            "d1", "d2", F.monotonically_increasing_id().alias("cid"),
-            F.col("source.doc_id").alias("_doc"), F.col("source.text_key").alias("_key"),
-        )
+        own.select("d1", "d2", F.col("source.doc_id").alias("_doc"), F.col("source.text_key").alias("_key"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
 
-    second = keyed.mapInArrow(_second_pass(heavy_slots(first).tobytes()), SECOND_PASS)
-    heads = second.join(own.select("cid", "_doc", "_key"), same).select("cid", "n", "first", "point")
-    # A row that is there twice is one source twice; members are distinct below.
-    heads = cut(heads)
+    # First shingles and points of one row per set; the join tells apart what a bitmap lets through.
+    heavy = heavy_slots(first).tobytes()
+    chosen = maybe_among(keyed, "text_key", own.select("_key"))
+    heads = chosen.mapInArrow(_second_pass(heavy), SECOND_PASS)
+    heads = cut(heads.withColumn("cid", F.monotonically_increasing_id()))
+    named = heads.select("cid", "doc_id", "text_key").join(own, same)
+    own = cut(
+        named.groupBy("d1", "d2", "_doc", "_key").agg(F.min("cid").alias("cid"))
+    )
     dealt = heads.select("cid", F.explode("first").alias("bucket"))
-    shared = dealt.groupBy("bucket").agg(F.min("cid").alias("a"), F.max("cid").alias("b"))
-    members = dealt.join(shared.where("a < b").select("bucket"), "bucket").distinct()
+    shared = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where("n >= 2").select("bucket")
+    members = cut(dealt.join(shared, "bucket").join(own.select("cid"), "cid"))
     # Buckets with the same members are one.
     mark = lambda seed: F.sum(
         F.pmod(F.xxhash64(F.lit(seed), "cid"), F.lit(1 << 40))
     ).alias(f"s{seed}")
-    sums = members.groupBy("bucket").agg(F.count("*").alias("g"), F.min("cid").alias("hub"), mark(1), mark(2))
+    sums = members.groupBy("bucket").agg(
+        F.count("*").alias("g"), F.min("cid").alias("hub"), mark(1), mark(2)
+    ).where("g >= 2")
     kept = sums.groupBy("g", "hub", "s1", "s2").agg(F.min("bucket").alias("bucket"))
-    members = members.join(kept.select("bucket", "g", "hub"), "bucket")
-    points = heads.select("cid", "point").dropDuplicates(["cid"])
-    members = cut(members.join(points, "cid").select("bucket", "g", "hub", "cid", "point"))
+    members = cut(members.join(kept.select("bucket", "g", "hub"), "bucket"))
+    points = heads.select("cid", "point")
 
-    links = tested = sets = None
+    links = tested = sets = reached = None
     most = 1
-    for _ in range(MAX_ROUNDS):
-        found = cut(_candidates(members, links, most).mapInArrow(_search(most), FOUND))
-        pairs = found.select("a", "b").distinct()
+    for turn in range(MAX_ROUNDS):
+        found = cut(_candidates(members, points, reached).mapInArrow(_search(most), FOUND))
+        if turn == 0:  # one partner each is enough to begin with
+            likeliest = F.max_by("a", F.struct("bound", -F.col("a")))
+            pairs = found.groupBy("b").agg(likeliest.alias("a")).select("a", "b")
+        else:
+            pairs = found.select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         more = found.agg(F.max("more")).first()[0]
         fresh = not pairs.isEmpty()
-        if not fresh and not more:
+        if turn and not fresh and not more:
             break
         if fresh:
             new = _linked(pairs, keyed, own, sets)
@@ -387,13 +451,15 @@ def classes(docs: DataFrame) -> DataFrame:
             if links is None or not new[0].isEmpty():
                 links = new[0] if links is None else links.union(new[0])
                 links = cut(links)
+                reached = cut(
+                    components(links).select(F.col("node").alias("cid"), "component")
+                )
         most *= 8
     else:
         raise RuntimeError(f"pairs across components remain after {MAX_ROUNDS} rounds")
 
     named = own.select("d1", "d2", "cid")
     if links is not None:
-        reached = components(links).select(F.col("node").alias("cid"), "component")
         named = named.join(reached, "cid", "left")
         named = named.select("d1", "d2", F.coalesce("component", "cid").alias("component"))
     else:
@@ -403,15 +469,12 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(members: DataFrame, links: DataFrame | None, most: int) -> DataFrame:
+def _candidates(members: DataFrame, points: DataFrame, reached: DataFrame | None) -> DataFrame:
     """Members of buckets that hold more than one component, dealt over tiles and sorted."""
-    if links is None:
-        placed = members.withColumn("comp", F.col("cid"))
+    if reached is None:
         # The first round asks each member for one partner: a star around early members.
-        mixed, stray = placed, F.lit(False)
-        hubs = mixed.withColumn("hub_comp", F.col("hub"))
+        hubs, stray = members.withColumn("comp", F.col("cid")), F.lit(False)
     else:
-        reached = components(links).select(F.col("node").alias("cid"), "component")
         placed = members.join(reached, "cid", "left").withColumn(
             "comp", F.coalesce("component", "cid")
         ).drop("component")
@@ -431,7 +494,7 @@ def _candidates(members: DataFrame, links: DataFrame | None, most: int) -> DataF
             )
         ),
     )
-    rows = dealt.select("bucket", "tile", "cid", "comp", "stray", "point")
+    rows = dealt.join(points, "cid").select("bucket", "tile", "cid", "comp", "stray", "point")
     return rows.repartition(F.col("bucket"), F.col("tile")).sortWithinPartitions("bucket", "tile")
 
 
@@ -442,12 +505,17 @@ def _linked(pairs, keyed, own, sets):
         wanted = wanted.join(sets.select("cid"), "cid", "left_anti")
     sources = wanted.join(own.select("cid", "_doc", "_key"), "cid")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
-    new = keyed.join(sources, same).select("cid", "text").mapInArrow(_sets, SETS)
+    texts = maybe_among(keyed, "text_key", sources.select("_key"))
+    new = texts.join(sources, same).select("cid", "text").mapInArrow(_sets, SETS)
     new = cut(new.dropDuplicates(["cid"]))
     sets = new if sets is None else sets.union(new)
-    left = pairs.join(sets.withColumnsRenamed({"cid": "a", "set": "x"}), "a")
-    both = left.join(sets.withColumnsRenamed({"cid": "b", "set": "y"}), "b").select("a", "b", "x", "y")
-    return cut(both.mapInArrow(_verify, "a long, b long")), sets
+
+    def beside(pairs: DataFrame, column: str) -> DataFrame:
+        side = lambda name, to: sets.select(F.col("cid").alias(name), F.col(column).alias(to))
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+
+    near = cut(beside(pairs, "fine").mapInArrow(_bounded, "a long, b long"))
+    return cut(beside(near, "set").mapInArrow(_verify, "a long, b long")), sets
 
 
 def joined(docs: DataFrame) -> DataFrame:
