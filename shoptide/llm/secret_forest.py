@@ -1,7 +1,7 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-A candidate is a run of at least ``MIN_CHARS`` letters, digits and ``+/_-`` that ends a word and holds
-a digit. What the forest sees of it: its length; its shares of digits, capitals and hexadecimal
+A candidate is every maximal run of at least ``MIN_CHARS`` letters, digits and ``+/_-``, with its ``=``
+padding, wherever it is in a word and whatever follows it. What the forest sees of it: its length; its shares of digits, capitals and hexadecimal
 letters, how often it changes between kinds of characters, and how usual its two-letter transitions
 are in the corpus's own words; the share of it that is made of dictionary words (words that the corpus
 holds ``MIN_WORD_COUNT`` times or more); whether it looks like a path, and where it was found; the
@@ -9,12 +9,12 @@ word before it, whether that assigns, and how many candidates follow that word i
 
 The forest is trained on labelled findings: a frame of value, before and label can be given; without
 one, findings that rules are sure of are the labels (values of issued formats and values assigned to a
-name of a secret, against numbers and words). It is fitted on at most ``MAX_PER_LABEL`` findings of
+name of a secret, against numbers and words of usual shape). It is fitted on at most ``MAX_PER_LABEL`` findings of
 either label, those of smallest hash; all counts cover all documents, and every candidate is scored.
 
 Defined cases: null, empty and blank texts hold no candidate. A candidate that is there many times is
 a finding each time. Rows that share a doc_id are scanned each. Without findings of both labels every
-score is 0. Columns other than doc_id, text and source play no part; source may be missing.
+score is 0. Runs of one word share its place. Columns other than doc_id, text and source play no part; source may be missing.
 All of it is built-in functions and Spark's own random forest.
 """
 
@@ -35,10 +35,17 @@ MIN_WORD_COUNT = 20
 MAX_PER_LABEL = 4000
 TREES, DEPTH, SEED = 30, 6, 7
 BLANKS = " \t\n\x0b\x0c\r"
-VALUE = r"""([A-Za-z0-9+/_-]{12,})["'.,;:!?)\]}]*$"""
+CHAR = "[A-Za-z0-9+/_-]"
+#: A run and its padding; the ``=`` of ``name=value`` and ``name="value"`` pads nothing.
+VALUE = f"""{CHAR}{{{MIN_CHARS},}}(?:={{1,2}}(?!["']?{CHAR}|=))?"""
+#: The name that assigns what comes next, and the first name of a word.
+ASSIGNS = r"""([^=:"'&?,;{}\[\]()]+)["']?[=:]+["'({\[]*$"""
+FIRST_NAME = r"""^["']?([^=:"']+)["']?[=:]"""
 #: Formats that issuers document, and names that secrets are assigned to.
 ISSUED = r"^(AKIA|ASIA)[A-Z0-9]{16}$"
 NAMED = r"(?i)(passw(or)?d|passwd|pwd|token|secret|api_?key|credential)"
+#: Words as prose and code write them, joined words among them.
+WORDY = r"^[+/_-]*[A-Za-z]?[a-z]+([+/_-]+[A-Za-z]?[a-z]*)*$"
 FEATURES = (
     "n_chars", "digits", "capitals", "hex_letters", "changes", "usual", "dictionary",
     "slashes", "place_hash", "assigned", "log_after",
@@ -57,7 +64,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string")
     rows = with_words(docs.select("doc_id", source.alias("source"), "text")).drop("text")
     at = lambda i: F.get("words", i)
-    long = lambda i: (F.length(at(i)) >= MIN_CHARS) & at(i).rlike(r"[0-9]")
+    long = lambda i: at(i).rlike(f"{CHAR}{{{MIN_CHARS}}}")
     places = F.filter(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0))), long)
     rows = rows.withColumn("places", places)
     hit = F.transform(
@@ -70,19 +77,34 @@ def candidates(docs: DataFrame) -> DataFrame:
     # Outer: the filter that Spark derives from a plain explode would compute all of it twice.
     hits = rows.select("doc_id", "source", F.explode_outer(hit).alias("hit"))
     hits = hits.where("hit is not null").select("doc_id", "source", "hit.*")
-    value = F.regexp_extract("word", VALUE, 1)
-    found = hits.withColumn("value", value).where(F.col("value").rlike("[0-9]"))
-    inside = F.regexp_extract("word", r"""^["']?([^=:"']+)["']?[=:]""", 1)
-    apart = F.coalesce(F.col("one").isin("=", ":", ":=", "=>"), F.lit(False))
-    ends = F.coalesce(F.col("one").rlike("[=:]$"), F.lit(False))
+    # The text before run i of a word is gap i.
+    hits = hits.withColumns(
+        {"runs": F.regexp_extract_all("word", F.lit(VALUE), F.lit(0)), "gaps": F.split("word", VALUE, -1)}
+    )
+    run = F.transform(
+        "runs",
+        lambda value, i: F.struct(
+            value.alias("value"), F.get("gaps", i).alias("gap"),
+            F.when(i > 0, F.get("runs", i - 1)).alias("last"),
+        ),
+    )
+    found = hits.select("doc_id", "source", "place", "one", "two", F.explode_outer(run).alias("run"))
+    found = found.where("run is not null").select("doc_id", "source", "place", "one", "two", "run.*")
+    near = F.regexp_extract("gap", ASSIGNS, 1)
+    first = F.regexp_extract("gap", FIRST_NAME, 1)
+    inside = F.when(near != "", near).when(F.col("last").isNull(), first).otherwise("")
+    later = F.col("last").isNotNull()
+    joined = later & F.col("gap").rlike("""^["']*[=:]+["'({\\[]*$""")
+    apart = ~later & F.coalesce(F.col("one").isin("=", ":", ":=", "=>"), F.lit(False))
+    ends = ~later & F.coalesce(F.col("one").rlike("[=:]$"), F.lit(False))
     name = (
-        F.when(inside != "", inside).when(apart, F.col("two"))
+        F.when(inside != "", inside).when(later, F.col("last")).when(apart, F.col("two"))
         .when(ends, F.regexp_replace("one", "[=:]+$", "")).otherwise(F.col("one"))
     )
     return found.select(
         "doc_id", "source", "place", "value",
         F.lower(F.coalesce(name, F.lit(""))).alias("before"),
-        ((inside != "") | apart | ends).alias("assigned"),
+        ((inside != "") | joined | apart | ends).alias("assigned"),
     )
 
 
@@ -157,9 +179,11 @@ def sure_findings(found: DataFrame) -> DataFrame:
     """value, before, label where rules are sure: 1 secret, 0 none."""
     secret = F.col("value").rlike(ISSUED) | (
         F.col("assigned") & F.col("before").rlike(NAMED) & F.col("value").rlike("[A-Za-z]")
+        & ~F.col("value").rlike(WORDY)
     )
     plain = ~F.col("assigned") & (
         F.col("value").rlike("^[0-9+/_-]+$") | F.col("value").rlike("^[A-Za-z]+[0-9]{1,2}$")
+        | F.col("value").rlike(WORDY)
     )
     label = F.when(secret, 1.0).when(plain, 0.0)
     return found.select("value", "before", label.alias("label")).where("label is not null").distinct()

@@ -391,6 +391,39 @@ def test_secrets_are_told_from_numbers(spark, no_docs):
     assert alone.collect() == []
 
 
+def test_secrets_anywhere_in_a_word(spark):
+    """Whatever follows a value, padding, several values in a word, and values without a digit."""
+    rnd = random.Random(4)
+    draw = lambda n, letters: "".join(rnd.choice(letters) for _ in range(n))
+    prose = lambda: " ".join(draw(6, "aeioulnst") for _ in range(20))
+    hexes, base64 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, secrets, others = [], set(), set()
+    for i in range(0, 400, 8):
+        key, padded, issued, plain = draw(40, hexes), draw(42, base64) + "==", "AKIA" + draw(16, base64[:26]), draw(20, base64[:52])
+        number = "4" + draw(15, "0123456789")
+        texts = [
+            f'token = "{key}"### {prose()}',
+            f'password="{padded}" {prose()}',
+            f'{{"token":"{key}","id":"x1","password":"{padded}"}}',
+            f"http://a.example/p?token={key}&page=2",
+            f"aws_secret_access_key={padded}",
+            f"{issued}, {prose()} {issued}### ",
+            f"password={plain}; {prose()}",
+            f"{prose()} {number}, internationalization {prose()}",
+        ]
+        wanted = [{key}, {padded}, {key, padded}, {key}, {padded}, {issued}, {plain}, set()]
+        for j, (text, values) in enumerate(zip(texts, wanted)):
+            rows.append((i + j, text, "s"))
+            secrets |= {(i + j, sha(v)) for v in values}
+        others |= {(i + 7, sha(number)), (i + 7, sha("internationalization"))}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = secret_forest.secret_findings(docs).collect()
+    assert {(r.doc_id, r.value_sha256) for r in got if r.is_secret} == secrets
+    assert {(r.doc_id, r.value_sha256) for r in got if not r.is_secret} >= others
+    issued = [r for r in got if r.is_secret and r.doc_id % 8 == 5]
+    assert len(issued) == 2 * 50
+
+
 # Components
 
 
