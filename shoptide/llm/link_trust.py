@@ -30,7 +30,10 @@ ROUNDS = 10
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'>]*)["']"""
 LINK_HOST = r"(?s)^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
-#: Scores are compared to this many decimals, below which the order of a sum shows.
+#: Distrust is above trust when it is by this share of it, below which the order of a sum shows. Scores
+#: shrink as the table grows, so no fixed number of decimals would do.
+MARGIN = 1e-9
+#: The SQL alone compares rounded scores, which is the same on tables of few ruled pages.
 DECIMALS = 9
 
 
@@ -130,7 +133,7 @@ def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     hosts = scores.groupBy("host").agg(of("trust"), of("distrust"))
     none = F.lit(0.0)
     trust, distrust = F.coalesce("trust", none), F.coalesce("distrust", none)
-    bad = F.round(distrust, DECIMALS) > F.round(trust, DECIMALS)
+    bad = distrust > trust * (1 + MARGIN)
     judged = rows.select("page_id", "host", "path", "rule", "by_rule").join(hosts, "host", "left")
     return judged.select(
         "page_id", "host", "path", "rule",

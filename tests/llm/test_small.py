@@ -295,6 +295,24 @@ def test_trust_follows_links(spark):
     }
 
 
+def test_propagated_blocks_do_not_depend_on_the_number_of_pages(spark):
+    """A host that links to a blocked one is blocked, among however many blocked pages."""
+    from pyspark.sql import functions as F
+
+    rows = [
+        (-1, "http://evil.example.com/de/1", ""),
+        (-2, "http://linker.y/", '<a href="http://evil.example.com/x">'),
+    ]
+    rows += [(-10 - i, f"http://other{i}.y/", '<a href="http://evil.example.com/x">') for i in range(99)]
+    few = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for n in (1_000, 10_000_000):
+        blocked = spark.range(n).select(
+            F.col("id").alias("page_id"), F.lit("http://many.net/").alias("url"), F.lit("").alias("html")
+        )
+        got = link_trust.url_verdicts(few.union(blocked)).where("page_id = -2").first()
+        assert got.verdict == "block", n
+
+
 # Embeddings
 
 
