@@ -4,12 +4,15 @@ A rule is a host and a path prefix: it fits that host and its subdomains when th
 with the prefix; the longest rule wins. Pages that no rule fits get the verdict of their host: trust
 starts at hosts by their pages that rules allow and follows links; distrust starts at hosts by their
 pages that rules block and follows links backwards, to those that link to them. Both are
-personalised PageRanks, ``ROUNDS`` steps with damping ``DAMPING``; a host is blocked when its distrust
-is above its trust. A host that neither reaches is allowed.
+personalised PageRanks with damping ``DAMPING`` at their fixed point: steps run until no host's score
+changes by more than ``TOLERANCE`` of itself, and the run fails when that takes more than ``MAX_STEPS``.
+A host is blocked when its distrust is above its trust. A host that neither reaches is allowed.
 
 Links are ``href`` targets of anchors: absolute ones lead to their host, others stay on the page's.
 Pages are reduced to weighted host edges at once, counted per map task first, and steps run on those;
-each step is one join on the host and one sum, written to the shared folder.
+each step is one join on the host and one sum, written to the shared folder, and the largest change
+is read back from there. What a host's links to itself give back is solved for, not iterated, so scores grow from
+below with every step and a graph without cycles of several hosts settles after its longest path.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and no rule; pages of
 the empty host neither link nor seed and are allowed. Null html has no links. Repeated pages count as
@@ -26,6 +29,10 @@ from pyspark.sql import functions as F
 from shoptide.llm.common import LOWER, UPPER, cut, lower_ascii
 
 DAMPING = 0.85
+#: Largest change of a score, as a share of it, at which it counts as settled; below ``MARGIN``.
+TOLERANCE = 1e-11
+MAX_STEPS = 2000
+#: The SQL alone stops after so many steps, which is the same where links stay on their host.
 ROUNDS = 10
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'>]*)["']"""
@@ -109,18 +116,33 @@ def seeds(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(start: DataFrame, ways: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Scores per host: kind, host, score."""
+def propagate(start: DataFrame, ways: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
+    """Scores per host at the fixed point: kind, host, score."""
     start, ways = cut(start), cut(ways)
-    fresh = start.select("kind", "host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-    current = start.select("kind", "host", F.col("seed").alias("score"))
-    for _ in range(rounds):
-        went = current.withColumnRenamed("host", "from").join(ways, ["kind", "from"])
-        came = went.select(
-            "kind", F.col("to").alias("host"), (F.col("score") * F.col("share") * DAMPING).alias("score")
-        )
-        current = cut(came.union(fresh).groupBy("kind", "host").agg(F.sum("score").alias("score")))
-    return current
+    own = ways.where("from = to").select("kind", F.col("to").alias("host"), F.col("share").alias("own"))
+    # What comes to a host counts more than once where the host links to itself.
+    kept = 1 / (1 - DAMPING * F.coalesce("own", F.lit(0.0)))
+    fresh = start.join(own, ["kind", "host"], "left").select(
+        "kind", "host", (F.col("seed") * (1 - DAMPING) * kept).alias("score")
+    )
+    others = ways.where("from <> to").withColumnRenamed("to", "host")
+    others = others.join(own, ["kind", "host"], "left").select(
+        "kind", "from", "host", (F.col("share") * DAMPING * kept).alias("weight")
+    )
+    fresh, others = cut(fresh), cut(others)
+    none, score, before = F.lit(0.0), F.col("score"), F.col("before")
+    change = F.when(score > 0, F.abs(score - before) / score).otherwise(none)
+    current = fresh
+    for _ in range(max_steps):
+        went = current.withColumnRenamed("host", "from").join(others, ["kind", "from"])
+        came = went.select("kind", "host", (score * F.col("weight")).alias("score"), none.alias("before"))
+        came = came.union(fresh.select("*", none)).union(current.select("kind", "host", none, "score"))
+        sums = came.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("before").alias("before"))
+        stepped = cut(sums.withColumn("change", change))
+        current = stepped.select("kind", "host", "score")
+        if (stepped.agg(F.max("change")).first()[0] or 0.0) <= TOLERANCE:
+            return current
+    raise RuntimeError(f"trust did not settle in {max_steps} steps")
 
 
 def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

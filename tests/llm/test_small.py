@@ -313,6 +313,41 @@ def test_propagated_blocks_do_not_depend_on_the_number_of_pages(spark):
         assert got.verdict == "block", n
 
 
+def test_trust_reaches_its_fixed_point(spark):
+    """A chain of more than ten hosts, a cycle and links of a host to itself, against the solution."""
+    import numpy as np
+
+    damping = link_trust.DAMPING
+    links = [(f"h{i + 1}", f"h{i}", 1) for i in range(14)]
+    links += [("h3", "h3", 2), ("c0", "c1", 1), ("c1", "c0", 1), ("c0", "h0", 9), ("c1", "c2", 9)]
+    links += [("d", "c0", 9), ("d", "c1", 9)]
+    hosts = sorted({h for a, b, _ in links for h in (a, b)})
+    place = {h: i for i, h in enumerate(hosts)}
+    edges = spark.createDataFrame(links, "src string, dst string, n long")
+    seed = {"trust": {"h14": 0.25, "c1": 0.75}, "distrust": {"h0": 1.0}}
+    start = spark.createDataFrame(
+        [(k, h, x) for k, of in seed.items() for h, x in of.items()], "kind string, host string, seed double"
+    )
+    ways = link_trust.arcs(edges)
+    got = {(r.kind, r.host): r.score for r in link_trust.propagate(start, ways).collect()}
+    for kind, of in seed.items():
+        flow = np.zeros((len(hosts), len(hosts)))
+        for a, b, n in links:
+            x, y = (a, b) if kind == "trust" else (b, a)
+            flow[place[y], place[x]] += n
+        flow /= np.maximum(flow.sum(axis=0), 1)
+        first = np.array([of.get(h, 0.0) for h in hosts])
+        solved = np.linalg.solve(np.eye(len(hosts)) - damping * flow, (1 - damping) * first)
+        for h, x in zip(hosts, solved):
+            assert got.get((kind, h), 0.0) == pytest.approx(x, rel=1e-9, abs=0), (kind, h)
+    with pytest.raises(RuntimeError):
+        link_trust.propagate(start, ways, 5)
+    pages = [(0, "http://h0.example.com/de/1", "")]
+    pages += [(i, f"http://h{i}.y/", f"<a href='http://h{i - 1}.{'y' if i > 1 else 'example.com'}/'>") for i in range(1, 13)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.verdict for r in link_trust.url_verdicts(frame).collect()} == {"block"}
+
+
 # Embeddings
 
 
