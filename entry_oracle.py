@@ -678,6 +678,11 @@ def _bodies() -> dict[str, str]:
               list_position(['view', 'cart', 'purchase'], event_type)) AS path
             FROM (SELECT user_session, event_type, min(event_time) AS first_at FROM silver GROUP BY 1, 2)
             GROUP BY 1) GROUP BY 1""",
+        "session_paths": """SELECT path, count(*) AS sessions FROM (
+            SELECT user_session, string_agg(coalesce(event_type, 'Unknown'), '>' ORDER BY event_time,
+              CASE event_type WHEN 'view' THEN 1 WHEN 'cart' THEN 2 WHEN 'purchase' THEN 3 ELSE 4 END,
+              coalesce(event_type, 'Unknown')) AS path
+            FROM silver WHERE user_session IS NOT NULL GROUP BY 1) GROUP BY 1""",
         "anomaly_sessions": f"""SELECT user_session, total_events, round(z, 6) AS z_score FROM (
             SELECT *, (total_events - (SELECT avg(total_events) FROM ({sessions})))
                       / (SELECT stddev_samp(total_events) FROM ({sessions})) AS z FROM ({sessions}))

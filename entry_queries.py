@@ -401,6 +401,7 @@ def queries() -> dict[str, Query]:
         # Sessions, dimensions, retention
         "session_duration": _over(_events("user_session"), dimensions.session_duration),
         "conversion_paths": _over(_events("user_session"), dimensions.conversion_paths),
+        "session_paths": _over(_events("user_session"), dimensions.session_paths),
         "anomaly_sessions": _rounded(
             _over(_events("user_session"), dimensions.anomaly_sessions), "z_score"
         ),

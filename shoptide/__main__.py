@@ -81,7 +81,8 @@ EVENT_REPORTS: dict[str, Report] = {
         cleaning.clean_audit, profiles.null_profile, profiles.duplicate_profile,
         profiles.describe_numeric, profiles.price_stats,
         layout.storage_layout, layout.storage_summary, layout.rows_per_file, layout.row_estimate,
-        dimensions.session_duration, dimensions.conversion_paths, dimensions.anomaly_sessions,
+        dimensions.session_duration, dimensions.conversion_paths, dimensions.session_paths,
+        dimensions.anomaly_sessions,
         dimensions.negative_prices, dimensions.normalized_brands, dimensions.dim_product,
         dimensions.dim_user, dimensions.dim_category, dimensions.star_revenue,
         dimensions.weekly_retention,

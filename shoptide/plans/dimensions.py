@@ -41,6 +41,31 @@ def conversion_paths(silver: DataFrame) -> DataFrame:
     return firsts.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("sessions"))
 
 
+def session_paths(silver: DataFrame) -> DataFrame:
+    """Sessions per ordered list of all their events, such as ``view>cart>view>purchase``.
+
+    Events at one time go by their order in the funnel, then by name; a missing type is ``Unknown``.
+    Equal steps are counted in the map tasks, and a session is put together from its hours, so that the
+    events of a long session spread over many tasks and only its path is in one.
+    """
+    types = F.array(*(F.lit(t) for t in (fixed.VIEW, fixed.CART, fixed.PURCHASE)))
+    step = F.coalesce("event_type", F.lit(fixed.UNKNOWN)).alias("step")
+    steps = silver.where(F.col("user_session").isNotNull()).groupBy("user_session", "event_time", step).agg(
+        F.count(F.lit(1)).cast("int").alias("n")
+    )
+    known = F.array_position(types, F.col("step"))
+    rank = F.when(known > 0, known).otherwise(F.size(types) + 1).alias("rank")
+    hour = F.date_trunc("hour", "event_time").alias("hour")
+    hours = steps.groupBy("user_session", hour).agg(
+        F.sort_array(F.collect_list(F.struct("event_time", rank, "step", "n"))).alias("steps")
+    )
+    said = F.transform("steps", lambda s: F.repeat(F.concat(F.lit(">"), s["step"]), s["n"]))
+    parts = hours.select("user_session", F.struct("hour", F.array_join(said, "").alias("part")).alias("part"))
+    sessions = parts.groupBy("user_session").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    path = F.substr(F.array_join(F.col("parts.part"), ""), F.lit(2)).alias("path")
+    return sessions.groupBy(path).agg(F.count(F.lit(1)).alias("sessions"))
+
+
 def anomaly_sessions(silver: DataFrame, threshold: float = 3.0) -> DataFrame:
     """Sessions whose number of events lies more than ``threshold`` deviations above the mean."""
     sessions = silver.where(F.col("user_session").isNotNull()).groupBy("user_session").agg(

@@ -323,3 +323,15 @@ def test_money_does_not_depend_on_row_order(spark):
         one(fact(raw.repartition(n), ["user_id"], ["total_revenue"]))["total_revenue"] for n in (1, 3, 7)
     }
     assert sums == {50 * 1_000_000_001.31}
+
+
+def test_session_paths_hold_every_step(spark):
+    from shoptide.plans.dimensions import session_paths
+
+    steps = [("10-01 08:00:00", "view"), ("10-01 08:01:00", "cart"), ("10-01 08:02:00", "view")]
+    rows = [(*step, 1, "a.b", "x", 1.0, 1, "long") for step in steps]
+    rows += [("10-02 23:59:59", "purchase", 1, "a.b", "x", 1.0, 1, "long")]
+    rows += [("10-01 08:00:00", kind, n, "a.b", "x", 1.0, 2, "tie") for n in (1, 2) for kind in ("cart", "view", "gift")]
+    rows += [("10-01 08:00:00", "view", 1, "a.b", "x", 1.0, 3, None)]
+    got = {r.path: r.sessions for r in session_paths(events(spark, rows)).collect()}
+    assert got == {"view>cart>view>purchase": 1, "view>view>cart>cart>gift>gift": 1}
