@@ -764,6 +764,7 @@ _READ_BACK = {
     "csv_round_trip": "bronze_partitions",
     "bronze_written": "bronze_partitions",
     "silver_written": "silver_events",
+    "silver_by_week": "silver_events",
     "gold_daily_written": "gold_daily",
     "gold_hourly_written": "gold_hourly",
     "gold_category_written": "gold_category",

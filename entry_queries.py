@@ -196,6 +196,17 @@ def _written_layer(layer: int) -> Query:
     return lambda spark, folder: tables.read_events(spark, _written_silver(spark, folder)[layer])
 
 
+def _silver_by_week(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver built week by week, each when its events have come."""
+    root, rows = _run_folder(spark), _bronze_partitions(spark, folder)
+    for week in range(5):
+        first = CALENDAR[0] + dt.timedelta(days=7 * week)
+        last = first + dt.timedelta(days=6)
+        tables.write_events(tables.between_days(rows, first, last), f"{root}/bronze")
+        lakehouse.build_silver(spark, f"{root}/bronze", f"{root}/silver", first, last)
+    return tables.read_events(spark, f"{root}/silver")
+
+
 def _written_fact(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         silver = _written_silver(spark, folder)[1]
@@ -257,6 +268,7 @@ def queries() -> dict[str, Query]:
         "csv_round_trip": _csv_round_trip,
         "bronze_written": _written_layer(0),
         "silver_written": _written_layer(1),
+        "silver_by_week": _silver_by_week,
         "gold_daily_written": _written_fact("fact_daily_metrics"),
         "gold_hourly_written": _written_fact("fact_hourly_metrics"),
         "gold_category_written": _written_fact("fact_category_metrics"),

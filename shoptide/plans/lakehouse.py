@@ -7,11 +7,13 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptide.functions import calendar_date
 from shoptide.operators.cleaning import keep_valid_prices
-from shoptide.operators.enrichment import add_calendar_parts
+from shoptide.operators.enrichment import add_calendar_parts, conversion_stage
 from shoptide.plans.gold import gold_category, gold_daily, gold_hourly
 from shoptide.plans.silver import silver_events
 from shoptide.sources.raw_csv import read_raw_csv
@@ -68,16 +70,44 @@ def build_silver(
     """Bronze to Silver: all days, or ``first`` to ``last``.
 
     The funnel stage always looks at the carts and purchases of all of Bronze. A run over some days
-    replaces only those days; stages written for earlier days stay as they were.
+    replaces those days, and the other days that hold a pair whose stage is no longer the one written:
+    Silver built day by day, as days come, is Silver built at once.
     """
     # Listed once, however many files there are.
     everything = read_events(spark, bronze)
-    chosen = between_days(everything, first, last)
-    stats = _timed_write(silver_events(chosen, evidence=everything), silver, "overwrite")
+    chosen = rows = between_days(everything, first, last)
+    if stale := _stale_days(spark, everything, silver, first, last):
+        rows = everything.where(_in_range(first, last) | calendar_date().isin(stale))
+    stats = _timed_write(silver_events(rows, evidence=everything), silver, "overwrite")
     _empty_days(spark, keep_valid_prices(chosen), silver, first, last)
     return stats
 
 
+def _in_range(first: dt.date | None, last: dt.date | None) -> Column:
+    low = F.lit(True) if first is None else calendar_date() >= F.lit(first)
+    return low if last is None else low & (calendar_date() <= F.lit(last))
+
+
+def _stale_days(
+    spark: SparkSession, everything: DataFrame, silver: str, first: dt.date | None, last: dt.date | None
+) -> list[dt.date]:
+    """Written days outside the range with rows whose stage differs from what Bronze says now."""
+    if first is None and last is None:
+        return []
+    try:
+        written = read_events(spark, silver)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+    others = written.where(~_in_range(first, last)).select(
+        "user_id", "product_id", F.col("conversion_stage").alias("written_stage"), *DAY_PARTITIONS
+    )
+    staged = conversion_stage(others, evidence=keep_valid_prices(everything))
+    changed = staged.where(~F.col("conversion_stage").eqNullSafe(F.col("written_stage")))
+    return [r["date"] for r in changed.select(calendar_date().alias("date")).distinct().collect()]  # days
+
+
 def _empty_days(
     spark: SparkSession, rows: DataFrame, path: str, first: dt.date | None, last: dt.date | None
 ) -> None:

@@ -175,6 +175,22 @@ def test_silver_of_some_days_sees_the_whole_funnel(spark, csv_folder, tmp_path):
     assert {r[0] for r in found.where("user_id = 11").select("conversion_stage").collect()} == {"added_to_cart"}
 
 
+def test_silver_by_day_is_silver_at_once(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    days = [
+        [("10-01 08:00:00", "view", 1), ("10-01 09:00:00", "view", 2)],
+        [("10-02 08:00:00", "view", 2), ("10-02 08:30:00", "cart", 1)],
+        [("10-03 08:00:00", "purchase", 1), ("10-03 09:00:00", "view", 3)],
+    ]
+    for i, rows in enumerate(days):
+        day = dt.date(2019, 10, 1 + i)
+        write_events(add_calendar_parts(events(spark, rows)), bronze)
+        lakehouse.build_silver(spark, bronze, silver, day, day)
+    stages = lambda df: sorted((r.event_time, r.product_id, r.conversion_stage) for r in df.collect())
+    whole = events(spark, [row for rows in days for row in rows])
+    assert stages(read_events(spark, silver)) == stages(silver_events(whole))
+
+
 def test_write_fact_replaces_the_table(spark, tmp_path):
     path = str(tmp_path / "fact")
     assert write_fact(spark.range(10).toDF("n"), path) == 10
