@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoptide.llm import (
     debruijn_spans,
+    filter_audit,
     hilbert_shards,
     hnsw_dedup,
     line_runs,
@@ -73,6 +74,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_runs.line_dedup_digests(table(spark, folder, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -85,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_line_dedup": op10_line_dedup,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
@@ -96,4 +104,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_jaccard_join": rtree_jaccard.oracle(),
         "op8_decontamination": minhash_containment.oracle(),
         "op10_line_dedup": line_runs.oracle(),
+        "op11_filter_audit": filter_audit.oracle(),
     }
