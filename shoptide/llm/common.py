@@ -40,23 +40,39 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def maybe_among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows whose 64-bit ``key`` may be among ``wanted`` (one column of keys), found before a
-    shuffle: every task knows a bitmap of ``BITMAP_SLOTS`` bits over the wanted keys, 16 MB at any
-    size of the data. No wanted row is missing; rows that share a bit pass too, so a join follows."""
-    slot = lambda c: F.pmod(c, F.lit(BITMAP_SLOTS)) + 1
-    slots = wanted.select(slot(F.col(wanted.columns[0])).alias("slot"))
-    bits = slots.groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(
+def _bitmap(wanted: DataFrame) -> DataFrame:
+    slots = wanted.select((F.pmod(F.col(wanted.columns[0]), F.lit(BITMAP_SLOTS)) + 1).alias("slot"))
+    return slots.groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits")
     )
-    place = F.bitmap_bit_position(slot(F.col(key)))
+
+
+def _with_bits(df: DataFrame, key: str, wanted: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """The rows beside the part of the bitmap their key falls in, and whether its bit is set."""
+    slot = F.pmod(F.col(key), F.lit(BITMAP_SLOTS)) + 1
+    place = F.bitmap_bit_position(slot)
     byte = F.substring(F.col("_bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
     bit = F.pow(F.lit(2), F.pmod(place, F.lit(8))).cast("int")
     known = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(bit) != 0
-    passing = df.withColumn("_at", F.bitmap_bucket_number(slot(F.col(key)))).join(
-        F.broadcast(bits), F.col("_at") == F.col("_bucket")
+    beside = df.withColumn("_at", F.bitmap_bucket_number(slot)).join(
+        F.broadcast(_bitmap(wanted)), F.col("_at") == F.col("_bucket"), how
     )
-    return passing.where(known).select(*df.columns)
+    return beside, known
+
+
+def maybe_among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose 64-bit ``key`` may be among ``wanted`` (one column of keys), found before a
+    shuffle: every task knows a bitmap of ``BITMAP_SLOTS`` bits over the wanted keys, 16 MB at any
+    size of the data. No wanted row is missing; rows that share a bit pass too, so a join follows."""
+    beside, known = _with_bits(df, key, wanted, "inner")
+    return beside.where(known).select(*df.columns)
+
+
+def split_by_bitmap(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose 64-bit ``key`` is surely not among ``wanted``, and those that ``maybe_among``
+    finds. Neither is shuffled; each reads ``df`` once."""
+    beside, known = _with_bits(df, key, wanted, "left")
+    return beside.where(~F.coalesce(known, F.lit(False))).select(*df.columns), maybe_among(df, key, wanted)
 
 
 def lower_ascii(c: Column) -> Column:

@@ -19,6 +19,8 @@ from shoptide.llm import (
     rtree_jaccard,
     secret_forest,
     tree_bpe,
+    warc_members,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +82,14 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_warc_members(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_members.page_records(table(spark, folder, "pages"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -93,6 +103,8 @@ def queries() -> dict[str, Query]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_line_dedup": op10_line_dedup,
         "op11_filter_audit": op11_filter_audit,
+        "op12_warc_members": op12_warc_members,
+        "op13_whitening": op13_whitening,
     }
 
 
@@ -105,4 +117,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_decontamination": minhash_containment.oracle(),
         "op10_line_dedup": line_runs.oracle(),
         "op11_filter_audit": filter_audit.oracle(),
+        "op12_warc_members": warc_members.oracle(),
     }
