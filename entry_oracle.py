@@ -352,6 +352,85 @@ def _closed(source: str, end: str, body: str) -> str:
         WHERE {end} <= (SELECT max(event_time) FROM {source}) - INTERVAL 10 MINUTE"""
 
 
+# Versions of products: attributes of the last event of each day, where they differ from the day before.
+_HISTORY = """SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY valid_from)::INTEGER AS version,
+      lead(valid_from) OVER (PARTITION BY product_id ORDER BY valid_from) AS valid_to
+    FROM (SELECT *,
+            lag(valid_from) OVER w IS NULL
+              OR lag(category_code) OVER w IS DISTINCT FROM category_code
+              OR lag(brand) OVER w IS DISTINCT FROM brand
+              OR lag(price_level) OVER w IS DISTINCT FROM price_level AS changed
+          FROM (SELECT product_id, event_time::DATE AS valid_from, category_code, brand,
+                  floor(price / 100)::BIGINT AS price_level
+                FROM silver
+                QUALIFY row_number() OVER (PARTITION BY product_id, event_time::DATE
+                  ORDER BY event_time DESC, category_code DESC, brand DESC, floor(price / 100) DESC) = 1)
+          WINDOW w AS (PARTITION BY product_id ORDER BY valid_from))
+    WHERE changed"""
+
+_OUTCOMES = """SELECT c.user_id, c.product_id, c.event_time,
+      CASE WHEN EXISTS (SELECT 1 FROM silver p WHERE p.event_type = 'purchase' AND p.user_id = c.user_id
+                          AND p.product_id = c.product_id AND p.event_time >= c.event_time
+                          AND p.event_time <= c.event_time + INTERVAL 72 HOUR) THEN 'converted'
+           WHEN c.event_time + INTERVAL 72 HOUR > (SELECT max(event_time) FROM silver) THEN 'open'
+           ELSE 'abandoned' END AS outcome
+    FROM silver c WHERE c.event_type = 'cart'"""
+
+_NEIGHBOURS = """WITH firsts AS (
+      SELECT user_session, product_id, min(event_time) AS first_seen FROM silver
+      WHERE user_session IS NOT NULL GROUP BY 1, 2
+    ), placed AS (
+      SELECT *, row_number() OVER (PARTITION BY user_session ORDER BY first_seen, product_id) AS place,
+        1000000 // count(*) OVER (PARTITION BY user_session) AS weight
+      FROM firsts
+    ), norms AS (SELECT product_id, sum(weight)::BIGINT AS norm FROM placed GROUP BY 1
+    ), pairs AS (
+      SELECT x.product_id, y.product_id AS neighbour_id, sum(x.weight)::BIGINT AS weight, count(*) AS sessions
+      FROM placed x JOIN placed y ON x.user_session = y.user_session
+        AND x.place <> y.place AND abs(x.place - y.place) <= 10
+      GROUP BY 1, 2
+    )
+    SELECT product_id, neighbour_id, sessions, cosine,
+      row_number() OVER (PARTITION BY product_id ORDER BY cosine DESC, neighbour_id)::INTEGER AS rank
+    FROM (SELECT p.product_id, p.neighbour_id, p.sessions,
+            p.weight / sqrt(a.norm::DOUBLE * b.norm) AS cosine
+          FROM pairs p JOIN norms a ON a.product_id = p.product_id JOIN norms b ON b.product_id = p.neighbour_id)
+    QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY cosine DESC, neighbour_id) <= 10"""
+
+_SESSION_GROUPS = """SELECT user_session, count(*) AS total_events,
+      hour(min(event_time))::INTEGER AS start_hour,
+      CASE max(CASE event_type WHEN 'purchase' THEN 2 WHEN 'cart' THEN 1 ELSE 0 END)
+        WHEN 2 THEN 'purchased' WHEN 1 THEN 'added_to_cart' ELSE 'viewed_only' END AS stage
+    FROM silver WHERE user_session IS NOT NULL GROUP BY 1"""
+
+_GROUP_ANOMALIES = f"""WITH s AS ({_SESSION_GROUPS}), m AS (
+      SELECT start_hour, stage, median(total_events)::DOUBLE AS median FROM s GROUP BY 1, 2
+    ), d AS (
+      SELECT s.*, m.median, abs(s.total_events - m.median) AS distance
+      FROM s JOIN m ON s.start_hour = m.start_hour AND s.stage = m.stage
+    ), g AS (
+      SELECT start_hour, stage, median(distance)::DOUBLE AS mad, avg(distance) AS mean_distance
+      FROM d GROUP BY 1, 2
+    ), z AS (
+      SELECT d.*, g.mad, CASE WHEN g.mad > 0 THEN g.mad / 0.6745
+                              WHEN g.mean_distance > 0 THEN g.mean_distance * 1.2533 END AS scale
+      FROM d JOIN g ON d.start_hour = g.start_hour AND d.stage = g.stage
+    )
+    SELECT user_session, start_hour, stage, total_events, median, mad,
+      round((total_events - median) / scale, 6) AS z_score
+    FROM z WHERE (total_events - median) / scale > 3.5"""
+
+
+def _grains() -> str:
+    parts = []
+    for grain in ("day", "week", "month"):
+        body = _period_fact(grain).replace(f"start AS {grain}_start", f"'{grain}' AS grain, start AS period_start")
+        parts.append(body)
+    whole = _period_fact("day").replace("start AS day_start", "'all' AS grain, start AS period_start")
+    parts.append(whole.replace("date_trunc('day', event_time)::DATE", "NULL::DATE"))
+    return " UNION ALL ".join(parts)
+
+
 def _bodies() -> dict[str, str]:
     sides = f"SELECT {_side('before', _FIRST)}, {_side('after', _SECOND)} FROM daily"
     totals = f"""SELECT {_big('total_events')} AS total_events, {_big('total_purchases')} AS total_purchases,
@@ -744,6 +823,43 @@ def _bodies() -> dict[str, str]:
                 FROM (SELECT *, lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time)
                         AS last_time FROM raw))
           GROUP BY user_id, visit"""),
+        "stream_category_upsert": """SELECT * EXCLUDE (unique_users, unique_products, revenue_per_user),
+          true AS unique_users_close, true AS unique_products_close FROM category""",
+        "stream_hourly_distincts": _closed("valid", "window_start + INTERVAL 1 HOUR", """
+          SELECT DISTINCT date_trunc('hour', event_time)::TIMESTAMP AS window_start,
+            true AS unique_users_close, true AS unique_sessions_close FROM valid"""),
+        # The watermark is that of the slower of both streams; a cart's time must lie before it.
+        "stream_abandoned_carts": """SELECT user_id, product_id, event_time AS cart_time
+          FROM (SELECT DISTINCT user_id, product_id, event_time FROM valid WHERE event_type = 'cart') c
+          WHERE NOT EXISTS (SELECT 1 FROM valid p WHERE p.event_type = 'purchase'
+              AND p.user_id = c.user_id AND p.product_id = c.product_id AND p.event_time >= c.event_time
+              AND p.event_time <= c.event_time + INTERVAL 72 HOUR)
+            AND c.event_time + INTERVAL 72 HOUR + INTERVAL 10 MINUTE <= least(
+              (SELECT max(event_time) FROM valid WHERE event_type = 'cart'),
+              (SELECT max(event_time) FROM valid WHERE event_type = 'purchase'))""",
+        "cart_outcomes": _OUTCOMES,
+        "abandoned_carts": f"""SELECT date, total_carts, converted_carts, abandoned_carts, open_carts,
+            CASE WHEN converted_carts + abandoned_carts > 0
+                 THEN abandoned_carts * 100 / (converted_carts + abandoned_carts)::DOUBLE END AS abandonment_pct
+          FROM (SELECT event_time::DATE AS date, count(*) AS total_carts,
+                  count(*) FILTER (WHERE outcome = 'converted') AS converted_carts,
+                  count(*) FILTER (WHERE outcome = 'abandoned') AS abandoned_carts,
+                  count(*) FILTER (WHERE outcome = 'open') AS open_carts
+                FROM ({_OUTCOMES}) GROUP BY 1)""",
+        "product_neighbours": f"SELECT * FROM ({_NEIGHBOURS})",
+        "group_anomaly_sessions": f"SELECT * FROM ({_GROUP_ANOMALIES})",
+        "dim_product_history": f"""SELECT product_id, version, valid_from, valid_to,
+          valid_to IS NULL AS is_current, category_code, brand, price_level FROM ({_HISTORY})""",
+        "star_revenue_as_of": f"""SELECT string_split(v.category_code, '.')[1] AS category_l1, v.brand,
+            v.price_level, count(*) AS total_purchases, sum(s.price::DECIMAL(18, 2))::DOUBLE AS total_revenue
+          FROM silver s JOIN ({_HISTORY}) v ON v.product_id = s.product_id
+            AND s.event_time::DATE >= v.valid_from AND (v.valid_to IS NULL OR s.event_time::DATE < v.valid_to)
+          WHERE s.event_type = 'purchase' GROUP BY 1, 2, 3""",
+        "gold_grains": _grains(),
+        "gold_weekly_sketched": f"""SELECT * EXCLUDE (unique_users, unique_sessions, unique_products,
+            events_per_user, purchases_per_user),
+          true AS unique_users_close, true AS unique_sessions_close, true AS unique_products_close
+          FROM ({_period_fact("week")})""",
         "stream_running_stage": """SELECT user_id, product_id,
           CASE max(CASE event_type WHEN 'purchase' THEN 2 WHEN 'cart' THEN 1 ELSE 0 END)
             WHEN 2 THEN 'purchased' WHEN 1 THEN 'added_to_cart' ELSE 'viewed_only' END AS conversion_stage
@@ -761,6 +877,7 @@ _EXTRA = {
 
 #: What is read back from a written layer is what its query computes.
 _READ_BACK = {
+    "stream_expiring_stage": "stream_running_stage",
     "csv_round_trip": "bronze_partitions",
     "bronze_written": "bronze_partitions",
     "silver_written": "silver_events",

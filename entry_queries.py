@@ -12,27 +12,31 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptide import configure
 from shoptide import fixed_values as fixed
 from shoptide import schemas
 from shoptide.operators import cleaning, enrichment, profiles
+from shoptide.operators.metrics import DISTINCTS, fact
 from shoptide.operators.shares import top_k
+from shoptide.plans import abandonment
 from shoptide.plans import bronze_reports as bronze
 from shoptide.plans import category_reports as by_category
 from shoptide.plans import daily_reports as by_day
-from shoptide.plans import dimensions
-from shoptide.plans import gold, lakehouse
+from shoptide.plans import churn, dimensions
+from shoptide.plans import gold, history, lakehouse
 from shoptide.plans import hourly_reports as by_hour
+from shoptide.plans import recommend, rollups
 from shoptide.plans import silver as silver_plan
 from shoptide.plans import silver_reports as quality
 from shoptide.plans.periods import Period
 from shoptide.session import shared_folder
 from shoptide.sources import layout, tables
 from shoptide.sources.driver_tables import read_table, shop_event_stream, shop_events
-from shoptide.streaming import jobs, sinks
+from shoptide.streaming import category_deltas, funnel_state, jobs, sinks
+from shoptide.streaming.abandonment import abandoned_cart_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +47,9 @@ SPIKE_HALF = Period("january", dt.date(2024, 1, 1), dt.date(2024, 1, 30))
 FIRST_WEEK = Period("first_week", dt.date(2024, 1, 1), dt.date(2024, 1, 7))
 CALENDAR = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 EXPECTED_DAYS = 31
+# Models learn from the days before it and are judged by the days after.
+CUT_OFF = dt.date(2024, 1, 24)
+ABANDONED_AFTER_HOURS = 72
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,6 +158,15 @@ def _events(*needed: str) -> Query:
     return lambda spark, folder: silver_plan.silver_needed(_raw(spark, folder), *needed)
 
 
+# What a version of a product holds.
+PRODUCT_STATE = ("category_code", "brand", "price_level")
+
+
+def _priced(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean events with the level of their price, which changes from day to day."""
+    return history.with_price_level(_events("brand", "category_code", "price")(spark, folder))
+
+
 def _staged(spark: SparkSession, folder: str) -> DataFrame:
     """Event keys with their funnel stage."""
     raw = _raw(spark, folder)
@@ -243,6 +259,112 @@ def _daily_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/gold").select(*schemas.GOLD_DAILY.names)
 
 
+def _category_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as batches of a stream: every week is a file, so batches come one after another."""
+    root = _run_folder(spark)
+    weeks = F.floor(F.dayofmonth("event_time") / 7).cast("int")
+    raw = shop_events(configure(spark), folder)
+    zoned = raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    for week in range(5):  # the later weeks first
+        zoned.where(weeks == 4 - week).coalesce(1).write.mode("append").parquet(f"{root}/raw")
+    stream = spark.readStream.schema(schemas.RAW).option("maxFilesPerTrigger", 1).parquet(f"{root}/raw")
+    batch = category_deltas.upsert_category(f"{root}/silver", f"{root}/deltas", f"{root}/gold")
+    writer = jobs.silver_rows(stream).writeStream.foreachBatch(batch)
+    writer = writer.option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    fact_rows = spark.read.parquet(f"{root}/gold")
+    exact = gold.gold_category(_events("category_code", "price")(spark, folder), ordered=False)
+    names = list(category_deltas.SKETCHED)
+    beside = exact.select("category_l1", *(F.col(n).alias(f"exact_{n}") for n in names))
+    close = {f"{n}_close": _close(F.col(n), F.col(f"exact_{n}")) for n in names}
+    return fact_rows.join(beside, "category_l1", "left").withColumns(close).drop(
+        *names, *(f"exact_{n}" for n in names), "revenue_per_user"
+    )
+
+
+def _close(estimate: Column, exact: Column) -> Column:
+    """Whether an estimated distinct count is within the stated error of the exact one."""
+    return F.coalesce(
+        F.abs(estimate - exact) <= F.greatest(exact * rollups.ERROR_BOUND, F.lit(1.0)), F.lit(False)
+    )
+
+
+def _cart_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    found = abandonment.cart_outcomes(_events()(spark, folder), ABANDONED_AFTER_HOURS)
+    return found.select("user_id", "product_id", "event_time", "outcome")
+
+
+def _weekly_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Weeks from written daily sketches. The distinct counts are compared with exact ones."""
+    path = f"{_run_folder(spark)}/daily"
+    events = _events("user_session", "price")(spark, folder)
+    tables.write_fact(rollups.daily_sketches(events), path)
+    weeks = rollups.roll_up_sketched(spark.read.parquet(path), "week")
+    start = F.date_trunc("week", F.col("event_time")).cast("date").alias("week_start")
+    exact = fact(events, [start], list(DISTINCTS)).withColumnsRenamed({n: f"exact_{n}" for n in DISTINCTS})
+    close = {f"{n}_close": _close(F.col(n), F.col(f"exact_{n}")) for n in DISTINCTS}
+    about = [c for c in weeks.columns if c.endswith("per_user")]
+    return weeks.join(exact, "week_start").withColumns(close).drop(
+        *DISTINCTS, *(f"exact_{n}" for n in DISTINCTS), *about
+    )
+
+
+def _stream_distincts(spark: SparkSession, folder: str) -> DataFrame:
+    """The approximate measures of the closed hourly windows, compared with exact counts."""
+    columns = ["window_start", "unique_users", "unique_sessions"]
+    found = _streamed(_stream_hours, columns)(spark, folder)
+    hour = F.date_trunc("hour", "event_time").alias("hour")
+    events = cleaning.keep_valid_prices(_raw(spark, folder))
+    exact = fact(events.withColumn("event_time", F.col("event_time").cast("timestamp")), [hour], columns[1:])
+    exact = exact.select(
+        F.col("hour").cast("timestamp_ntz").alias("window_start"), *(F.col(c).alias(f"exact_{c}") for c in columns[1:])
+    )
+    # Three standard errors of five percent, or two.
+    near = lambda c: F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.greatest(F.col(f"exact_{c}") * 0.15, F.lit(2.0))
+    return found.join(exact, "window_start", "left").select(
+        "window_start", *(F.coalesce(near(c), F.lit(False)).alias(f"{c}_close") for c in columns[1:])
+    )
+
+
+def _stream_abandoned(spark: SparkSession, folder: str) -> DataFrame:
+    """Carts and purchases as two streams, each without repeated events."""
+    root = _run_folder(spark)
+    topic = lambda kind: jobs.dedup(
+        shop_event_stream(configure(spark), folder).transform(cleaning.keep_valid_prices).where(F.col("event_type") == kind)
+    )
+    found = abandoned_cart_stream(topic(fixed.CART), topic(fixed.PURCHASE), ABANDONED_AFTER_HOURS, delay=None)
+    table = sinks.run_available(found, f"{root}/table", f"{root}/checkpoint")
+    return table.withColumn("cart_time", F.col("cart_time").cast("timestamp_ntz"))
+
+
+def _stream_expiring(spark: SparkSession, folder: str) -> DataFrame:
+    """The furthest stage of each pair from the changes that the expiring state gives out."""
+    root = _run_folder(spark)
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # State with a time to live asks for one more batch for ever, which a run of what is there
+        # (availableNow) must not wait for.
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        changes = funnel_state.expiring_stage(shop_event_stream(configure(spark), folder))
+        batch = lambda rows, n: rows.write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).parquet(f"{root}/changes/batch={n}")
+        writer = changes.writeStream.outputMode("update").foreachBatch(batch)
+        writer = writer.option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    last = F.max_by("conversion_stage", "batch").alias("conversion_stage")
+    return spark.read.parquet(f"{root}/changes").groupBy("user_id", "product_id").agg(last)
+
+
 def _stream_hours(stream: DataFrame) -> DataFrame:
     return jobs.hourly_windows(stream.transform(cleaning.keep_valid_prices))
 
@@ -424,6 +546,21 @@ def queries() -> dict[str, Query]:
         "dim_category": _over(coded, dimensions.dim_category),
         "star_revenue": _over(_rows, dimensions.star_revenue),
         "weekly_retention": _over(by_time, dimensions.weekly_retention),
+        "group_anomaly_sessions": _rounded(
+            _over(_events("user_session"), dimensions.group_anomaly_sessions), "z_score"
+        ),
+        "dim_product_history": _over(_priced, history.dim_product_history, PRODUCT_STATE),
+        "star_revenue_as_of": _over(_priced, history.star_revenue_as_of, PRODUCT_STATE),
+        # Abandonment, recommendations, churn
+        "cart_outcomes": _cart_outcomes,
+        "abandoned_carts": _over(by_time, abandonment.abandoned_carts, ABANDONED_AFTER_HOURS),
+        "recommend_products": _over(by_time, recommend.recommend_products, CUT_OFF),
+        "recommendation_recall": _over(by_time, recommend.recommendation_recall, CUT_OFF),
+        "product_neighbours": _over(_events("user_session"), recommend.product_neighbours),
+        "churn_scores": _over(_events("user_session", "price"), churn.churn_scores, CUT_OFF),
+        # Facts of several grains, stored sketches
+        "gold_grains": _over(_events("user_session", "price"), rollups.gold_grains),
+        "gold_weekly_sketched": _weekly_sketched,
         # Streams
         "stream_silver_rows": _streamed(
             jobs.silver_rows, [c for c in schemas.SILVER.names if c != "conversion_stage"]
@@ -440,6 +577,10 @@ def queries() -> dict[str, Query]:
             ["user_id", "visit_start", "visit_end", "total_events", "total_purchases"],
         ),
         "stream_daily_upsert": _daily_upsert,
+        "stream_category_upsert": _category_upsert,
+        "stream_hourly_distincts": _stream_distincts,
+        "stream_abandoned_carts": _stream_abandoned,
+        "stream_expiring_stage": _stream_expiring,
         "stream_running_stage": _streamed(
             jobs.running_stage, ["user_id", "product_id", "conversion_stage"], True
         ),

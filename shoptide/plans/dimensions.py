@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptide import fixed_values as fixed
-from shoptide.functions import category_level, is_purchase, money_total, total_money
+from shoptide.functions import (
+    category_level,
+    is_purchase,
+    money_total,
+    stage_label,
+    stage_rank,
+    total_money,
+)
 
 
 def session_duration(silver: DataFrame) -> DataFrame:
@@ -80,6 +87,53 @@ def anomaly_sessions(silver: DataFrame, threshold: float = 3.0) -> DataFrame:
     return sessions.withColumn("z_score", z).where(F.col("z_score") > threshold)
 
 
+def group_anomaly_sessions(silver: DataFrame, threshold: float = 3.5) -> DataFrame:
+    """Sessions with unusually many events for their group: the hour of day they begin in and the
+    furthest stage they reach.
+
+    The robust z-score is ``0.6745 * (events - median) / mad`` with the group's median and the median of
+    the distances from it, both exact and interpolated; where half of a group is equal, so that this is
+    zero, the mean distance times 1.2533 / 0.6745 stands for it. Groups without any spread have no
+    anomaly. Medians come from how often each number of events occurs, never from gathered sessions.
+    """
+    rank = F.max(stage_rank())
+    sessions = silver.where(F.col("user_session").isNotNull()).groupBy("user_session").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.hour(F.min("event_time")).alias("start_hour"),
+        stage_label(rank).alias("stage"),
+    )
+    group = ["start_hour", "stage"]
+    counts = sessions.groupBy(*group, "total_events").agg(F.count(F.lit(1)).alias("n"))
+    middle = _grouped_median(counts, group, "total_events", "median")
+    apart = F.abs(F.col("total_events") - F.col("median"))
+    distances = counts.join(middle, group).groupBy(*group, apart.alias("distance")).agg(F.sum("n").alias("n"))
+    spread = _grouped_median(distances, group, "distance", "mad").join(
+        distances.groupBy(*group).agg(
+            (F.sum(F.col("distance") * F.col("n")) / F.sum("n")).alias("mean_distance")
+        ),
+        group,
+    )
+    scale = F.when(F.col("mad") > 0, F.col("mad") / 0.6745).otherwise(F.col("mean_distance") * 1.2533)
+    scored = sessions.join(middle, group).join(spread, group).withColumn(
+        "z_score", F.try_divide(F.col("total_events") - F.col("median"), scale)
+    )
+    return scored.where(F.col("z_score") > threshold).select(
+        "user_session", *group, "total_events", "median", "mad", "z_score"
+    )
+
+
+def _grouped_median(counts: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
+    """Median of each group from its values and how often they occur (``n``)."""
+    # A window partition has one row per distinct value of a group.
+    upward = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumns(
+        {"_upto": F.sum("n").over(upward), "_all": F.sum("n").over(Window.partitionBy(*group))}
+    )
+    low = F.min(F.when(F.col("_upto") * 2 >= F.col("_all"), F.col(value)))
+    high = F.min(F.when(F.col("_upto") * 2 > F.col("_all"), F.col(value)))
+    return placed.groupBy(*group).agg(((low + high) / 2).alias(name))
+
+
 def negative_prices(raw: DataFrame) -> DataFrame:
     """Raw rows with a price below zero, by event type."""
     return raw.groupBy("event_type").agg(F.count_if(F.col("price") < 0).alias("negative_rows"))

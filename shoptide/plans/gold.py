@@ -80,7 +80,7 @@ def gold_category(
     return table.orderBy(F.col("total_revenue").desc(), "category_l1") if ordered else table
 
 
-_PERIOD_FACT = [
+PERIOD_FACT = [
     n for n in GOLD_DAILY.names if n in MEASURES or n in DISTINCTS or n in RATIOS
 ]
 
@@ -91,4 +91,4 @@ def gold_period(silver: DataFrame, unit: str, exact: bool = True) -> DataFrame:
     Counted from events: distinct users of a week are not the sum of its days.
     """
     start = F.date_trunc(unit, F.col("event_time")).cast("date").alias(f"{unit}_start")
-    return fact(silver, [start], _PERIOD_FACT, exact).orderBy(f"{unit}_start")
+    return fact(silver, [start], PERIOD_FACT, exact).orderBy(f"{unit}_start")

@@ -16,7 +16,9 @@ import entry_queries
 
 QUERIES = entry_queries.queries()
 ORACLE = entry_oracle.oracle_sql()
-WITHOUT_SQL = {"storage_layout"}
+#: Models: tests/test_recommend.py and tests/test_churn.py compare them with what was planted.
+MODELS = {"recommend_products", "recommendation_recall", "churn_scores"}
+WITHOUT_SQL = {"storage_layout"} | MODELS
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -80,7 +82,8 @@ def test_query_equals_sql(spark, duck, sf001, name):
 def test_query_without_sql_has_rows(spark, sf001, name):
     df = QUERIES[name](spark, sf001)
     assert df.collect()
-    check_plan(df, name)
+    if name not in MODELS:
+        check_plan(df, name)
 
 
 def test_flagship(spark):
