@@ -825,9 +825,9 @@ def _bodies() -> dict[str, str]:
           GROUP BY user_id, visit"""),
         "stream_category_upsert": """SELECT * EXCLUDE (unique_users, unique_products, revenue_per_user),
           true AS unique_users_close, true AS unique_products_close FROM category""",
-        "stream_hourly_distincts": _closed("valid", "window_start + INTERVAL 1 HOUR", """
-          SELECT DISTINCT date_trunc('hour', event_time)::TIMESTAMP AS window_start,
-            true AS unique_users_close, true AS unique_sessions_close FROM valid"""),
+        "stream_hourly_distincts": "SELECT count(*) AS windows, true AS unique_users_close, "
+        "true AS unique_sessions_close FROM (" + _closed("valid", "window_start + INTERVAL 1 HOUR", """
+          SELECT DISTINCT date_trunc('hour', event_time)::TIMESTAMP AS window_start FROM valid""") + ")",
         # The watermark is that of the slower of both streams; a cart's time must lie before it.
         "stream_abandoned_carts": """SELECT user_id, product_id, event_time AS cart_time
           FROM (SELECT DISTINCT user_id, product_id, event_time FROM valid WHERE event_type = 'cart') c

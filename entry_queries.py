@@ -310,19 +310,17 @@ def _weekly_sketched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_distincts(spark: SparkSession, folder: str) -> DataFrame:
-    """The approximate measures of the closed hourly windows, compared with exact counts."""
-    columns = ["window_start", "unique_users", "unique_sessions"]
-    found = _streamed(_stream_hours, columns)(spark, folder)
-    hour = F.date_trunc("hour", "event_time").alias("hour")
+    """The approximate measures of the closed hourly windows against exact counts: windows compared, and
+    whether the root mean square of the relative errors is within the five percent the sketch promises."""
+    columns = ["unique_users", "unique_sessions"]
+    found = _streamed(_stream_hours, ["window_start", *columns])(spark, folder)
+    hour = F.date_trunc("hour", F.col("event_time").cast("timestamp")).cast("timestamp_ntz")
     events = cleaning.keep_valid_prices(_raw(spark, folder))
-    exact = fact(events.withColumn("event_time", F.col("event_time").cast("timestamp")), [hour], columns[1:])
-    exact = exact.select(
-        F.col("hour").cast("timestamp_ntz").alias("window_start"), *(F.col(c).alias(f"exact_{c}") for c in columns[1:])
-    )
-    # Three standard errors of five percent, or two.
-    near = lambda c: F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.greatest(F.col(f"exact_{c}") * 0.15, F.lit(2.0))
-    return found.join(exact, "window_start", "left").select(
-        "window_start", *(F.coalesce(near(c), F.lit(False)).alias(f"{c}_close") for c in columns[1:])
+    exact = fact(events, [hour.alias("window_start")], columns)
+    both = found.join(exact.withColumnsRenamed({c: f"exact_{c}" for c in columns}), "window_start", "left")
+    error = lambda c: F.sqrt(F.avg(F.pow(F.col(c) / F.col(f"exact_{c}") - 1, F.lit(2))))
+    return both.agg(
+        F.count(F.lit(1)).alias("windows"), *((error(c) <= 0.05).alias(f"{c}_close") for c in columns)
     )
 
 
