@@ -11,8 +11,8 @@ two 64-bit hashes stand for it. Keys of ``MIN_CHARS`` code points or more that `
 documents hold lose their lines everywhere but in the largest doc_id that holds them.
 
 Defined cases: a null or empty text is one empty line. A line repeated within a document counts once
-and goes or stays whole. Every row is a document; rows of one doc_id decide alike, and a null doc_id
-is below all others. Columns other than doc_id and text are passed through.
+and goes or stays whole. Rows of one doc_id are one document, however often they come; a row without a
+doc_id is none: it makes no key common, and loses the lines of common keys. Columns other than doc_id and text are passed through.
 
 Keys are combined per document and per map task before any shuffle, so a line that half of the corpus
 holds costs a row per task. Only hashes and ids are shuffled; texts are shuffled once, by document.
@@ -104,9 +104,12 @@ def line_hashes(docs: DataFrame) -> DataFrame:
 
 
 def batch_keys(docs: DataFrame) -> DataFrame:
-    """What a batch knows of its keys: h1, h2, n_docs, max_doc. Counted per map task first."""
+    """What a batch knows of its keys: h1, h2, n_docs, max_doc. Documents are counted, not rows: a row
+    that comes twice holds a key once. Batches have no doc_id in common, so their counts add up."""
     keys = _plain(docs).mapInArrow(_hash_lines(True), LINES)
-    return keys.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc"))
+    return keys.groupBy("h1", "h2").agg(
+        F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("max_doc")
+    )
 
 
 @dataclass

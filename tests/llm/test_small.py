@@ -142,6 +142,19 @@ def test_runs_are_compacted(docs):
     assert not runs.add(docs).where("is_new").count()
 
 
+def test_documents_hold_a_line_and_not_rows(spark):
+    """A row that comes twice holds its line once: two documents are not three."""
+    line, extra = "this line is long enough to count", "and this one is in three documents"
+    rows = [(1, line), (1, line), (2, line), (3, f"{extra}\nx"), (3, f"{extra}\nx"), (4, extra), (5, extra), (None, line), (None, extra)]
+    df = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS)
+    found = sorted((tuple(r) for r in line_runs.line_dedup_digests(df).collect()), key=str)
+    stays = lambda d, t, n=1: (d, n, 0, sha(t))
+    assert found == sorted(
+        [stays(1, line), stays(1, line), stays(2, line), (3, 2, 1, sha("x")), (3, 2, 1, sha("x")),
+         (4, 1, 1, sha("")), stays(5, extra), stays(None, line), (None, 1, 1, sha(""))], key=str,
+    )
+
+
 def test_lines_of_nothing(no_docs):
     assert line_runs.line_dedup_digests(no_docs).collect() == []
 
@@ -195,6 +208,19 @@ def test_one_of_each_group_stays(docs, rows):
     assert kept == {low for _, n, low in brute_classes(rows) if n} | {d for d, n, _ in brute_classes(rows) if not n}
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows of the kept document, repeated rows outside any group, and one id with two texts."""
+    text, other, own = "a b c d e f g h", "p q r s t u v", "k l m n o p q r s"
+    rows = [(1, text), (1, text), (1, text), (2, text), (3, other), (3, other), (4, None), (4, None), (None, own), (None, own), (1, own)]
+    df = spark.createDataFrame([(d, t, "en", f"s{i}", 1) for i, (d, t) in enumerate(rows)], DOCS)
+    kept = rtree_jaccard.keep_first(df)
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert len(found) == 5
+    assert found.count((1, text)) == 1 and found.count((3, other)) == 1 and found.count((4, None)) == 2
+    assert sum(t == own for _, t in found) == 1
+
+
 def test_join_of_nothing(no_docs):
     assert rtree_jaccard.joined(no_docs).collect() == []
 
