@@ -532,18 +532,26 @@ def joined(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group: that of the smallest doc_id, the smallest text key among ties.
-    Documents without shingles all stay."""
+    Of rows that agree with it in doc_id and text, any one stays. Documents without shingles all stay."""
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = cut(classes(docs))
     first = rows.where("component is not null").groupBy("component").agg(
         F.min(F.struct("doc_id", "text_key")).alias("kept")
     )
-    gone = rows.join(first, "component").where(
-        ~F.struct("doc_id", "text_key").eqNullSafe(F.col("kept"))
+    ours = rows.join(first, "component")
+    kept = F.struct("doc_id", "text_key").eqNullSafe(F.col("kept"))
+    named = [F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")]
+    repeated = cut(
+        ours.where(kept).groupBy(*named).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     )
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct()
+    gone = ours.where(~kept).select(*named).distinct().unionByName(repeated)
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (key == F.col("_key"))
-    return docs.join(gone, same, "left_anti")
+    stay = docs.join(gone, same, "left_anti")
+    # Few rows, if any: the bitmap finds them before texts are shuffled.
+    keyed = maybe_among(docs.withColumn("_text_key", key), "_text_key", repeated.select("_key"))
+    again = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_key"))
+    once = keyed.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "_text_key"])
+    return stay.unionByName(once.select(*docs.columns))
 
 
 def oracle() -> str:
