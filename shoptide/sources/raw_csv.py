@@ -31,3 +31,12 @@ def read_raw_folder(
         warnings.warn(f"no file matches {pattern} in {folder}", stacklevel=2)
         return None
     return events
+
+
+def read_csv_head(spark: SparkSession, path: str, n: int = 5, **options: str) -> DataFrame:
+    """The first ``n`` rows of one CSV file in the order of the file; fewer where it has fewer.
+
+    Only the beginning of the file is read: Spark takes rows from its first split, and goes on to the
+    next only if they do not suffice. The n rows pass through the driver.
+    """
+    return spark.createDataFrame(read_raw_csv(spark, path, **options).head(n), RAW)

@@ -14,7 +14,7 @@ from shoptide.plans import lakehouse
 from shoptide.plans.silver import silver_events
 from shoptide.schemas import BRONZE, GOLD_DAILY, RAW, SILVER
 from shoptide.sources import layout
-from shoptide.sources.raw_csv import read_raw_csv, read_raw_folder
+from shoptide.sources.raw_csv import read_csv_head, read_raw_csv, read_raw_folder
 from shoptide.sources.tables import read_events, write_events, write_fact
 
 HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
@@ -211,3 +211,24 @@ def test_layout(spark, tmp_path):
     assert (estimate.files, estimate.sampled_files) == (len(files), 2)
     assert estimate.estimated_rows == round(estimate.avg_rows_per_file * len(files))
     assert layout.file_sample(df, files=2).select("_metadata.file_path").distinct().count() == 2
+
+
+def test_head_of_a_csv(spark, csv_folder):
+    lines = spark.read.text(f"{csv_folder}/a.csv").count() - 1
+    whole = read_raw_csv(spark, f"{csv_folder}/a.csv").collect()
+    assert read_csv_head(spark, f"{csv_folder}/a.csv", 3).collect() == whole[:3]
+    assert read_csv_head(spark, f"{csv_folder}/a.csv", 99).count() == len(whole) == lines
+    assert read_csv_head(spark, f"{csv_folder}/a.csv", 0).collect() == []
+
+
+def test_head_reads_the_beginning_of_a_large_file(spark, tmp_path):
+    rows = "".join(f"2019-10-01 00:00:00 UTC,view,{i},1,a.b,x,1.0,1,s\n" for i in range(50_000))
+    header = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    (tmp_path / "large.csv").write_text(header + rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        found = read_csv_head(spark, str(tmp_path / "large.csv"), 2_000).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.product_id for r in found] == list(range(2_000))
