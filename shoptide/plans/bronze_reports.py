@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoptide import fixed_values as fixed
 from shoptide.functions import category_root
-from shoptide.operators.profiles import duplicate_profile, null_profile
+from shoptide.operators.profiles import null_profile
 from shoptide.operators.shares import share_of, top_k, value_counts, with_share
 
 
@@ -96,42 +96,54 @@ def rarest_category_roots(raw: DataFrame, k: int = 10) -> DataFrame:
 
 
 def quality_verdicts(raw: DataFrame) -> DataFrame:
-    """Graded duplicates, bad prices and number of categories: one row per check."""
+    """Graded duplicates, bad prices and number of categories: one row per check, all from one scan.
 
-    def verdict(df: DataFrame, check: str, value: Column, grade: Column) -> DataFrame:
-        return df.select(
-            F.lit(check).alias("check_name"),
-            value.cast("double").alias("value"),
-            grade.alias("verdict"),
+    Rows are grouped once by the key that makes duplicates; bad prices add up over the groups, and the
+    first category levels of a group (one, as a rule) are merged over all groups: few values, whatever
+    the number of rows.
+    """
+    key = [c for c in fixed.EVENT_KEY if c != "event_time"]
+    price, n = F.col("price"), F.col("n")
+    groups = raw.groupBy(*key, F.date_trunc("second", "event_time").alias("second")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(price == 0).alias("zero"),
+        F.count_if(price < 0).alias("negative"),
+        F.collect_set(category_root(F.col("category_code"))).alias("roots"),
+    )
+    found = groups.groupBy("roots").agg(
+        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("repeated"),
+        F.sum("zero").alias("zero"),
+        F.sum("negative").alias("negative"),
+    ).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated"),
+        F.coalesce(F.sum("zero"), F.lit(0)).alias("zero"),
+        F.coalesce(F.sum("negative"), F.lit(0)).alias("negative"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("roots")))).alias("roots"),
+    )
+    duplicates = F.coalesce(F.try_divide(F.col("repeated"), n) * 100.0, F.lit(0.0))
+    bad = share_of(F.col("zero"), n) + share_of(F.col("negative"), n)
+    roots = F.col("roots")
+
+    def verdict(check: str, value: Column, grade: Column) -> Column:
+        return F.struct(
+            F.lit(check).alias("check_name"), value.cast("double").alias("value"), grade.alias("verdict")
         )
 
-    duplicates = F.col("pct_duplicates")
-    bad = F.col("pct_zero") + F.col("pct_negative")
-    roots = F.col("roots")
-    distinct_roots = _root_counts(raw).agg(F.count(F.lit(1)).alias("roots"))
-    return (
+    checks = [
         verdict(
-            duplicate_profile(raw),
             "duplicates_pct",
             duplicates,
             F.when(duplicates < fixed.DUPLICATES_FEW, "few")
             .when(duplicates < fixed.DUPLICATES_MODERATE, "moderate")
             .otherwise("significant"),
-        )
-        .unionByName(
-            verdict(
-                invalid_prices(raw),
-                "bad_prices_pct",
-                bad,
-                F.when(bad < fixed.BAD_PRICES_FEW, "few").otherwise("filter"),
-            )
-        )
-        .unionByName(
-            verdict(
-                distinct_roots,
-                "category_roots",
-                roots,
-                F.when(roots < fixed.CATEGORIES_CLEAN, "clean").otherwise("review"),
-            )
-        )
-    )
+        ),
+        verdict("bad_prices_pct", bad, F.when(bad < fixed.BAD_PRICES_FEW, "few").otherwise("filter")),
+        verdict(
+            "category_roots",
+            roots,
+            F.when(roots < fixed.CATEGORIES_CLEAN, "clean").otherwise("review"),
+        ),
+    ]
+    return found.select(F.inline(F.array(*checks)))
