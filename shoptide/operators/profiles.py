@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptide import fixed_values as fixed
-from shoptide.operators.quantiles import SLICES, exact_quantiles
+from shoptide.operators.quantiles import SLICES, quantiles_of, value_frequencies
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -65,21 +65,27 @@ def describe_numeric(
 ) -> DataFrame:
     """count, mean, sample deviation, min, exact quartiles and max of each numeric column.
 
-    ``slices`` tasks at most rank the distinct values of a column.
+    All of it comes from one table of values and how often they occur, built in one scan. ``slices``
+    tasks at most rank the distinct values of a column.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    long = df.select(*(F.col(c).cast("double").alias(c) for c in names)).unpivot(
-        [], names, "column_name", "value"
-    )
-    value = F.when(~F.isnan("value"), F.col("value"))
-    moments = long.groupBy("column_name").agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
+    freq = value_frequencies(df, names)
+    value, n = F.col("value"), F.col("n")
+    rows = F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0))
+    sums = freq.groupBy("column_name").agg(
+        rows.alias("n"),
+        F.try_divide(F.sum(value * n), rows).alias("mean"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    quartiles = exact_quantiles(df, names, (0.25, 0.5, 0.75), slices)
+    # Deviations are taken from the mean before they are squared; one mean per column name.
+    means = F.broadcast(sums.select("column_name", "mean"))
+    spread = freq.join(means, "column_name").groupBy("column_name").agg(
+        F.sum(F.pow(value - F.col("mean"), F.lit(2)) * n).alias("squares")
+    )
+    std = F.sqrt(F.try_divide(F.col("squares"), F.col("n") - 1)).alias("std")
+    moments = sums.join(spread, "column_name").select("column_name", "n", "mean", std, "min", "max")
+    quartiles = quantiles_of(freq, (0.25, 0.5, 0.75), slices)
     # Both sides have one row per column name.
     return moments.join(quartiles, "column_name", "left").select(
         "column_name",

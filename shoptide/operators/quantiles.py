@@ -15,6 +15,17 @@ from pyspark.sql import functions as F
 SLICES = 200
 
 
+def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How often each value of numeric columns occurs: column_name, value, n. Nulls and NaN are one
+    value, null."""
+    names = list(columns)
+    long = df.select(*(F.col(c).cast("double").alias(c) for c in names)).unpivot(
+        [], names, "column_name", "value"
+    )
+    value = F.when(~F.isnan("value"), F.col("value")).alias("value")
+    return long.groupBy("column_name", value).agg(F.count(F.lit(1)).alias("n"))
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], points: Sequence[float], slices: int = SLICES
 ) -> DataFrame:
@@ -22,15 +33,14 @@ def exact_quantiles(
 
     One row per column that has values: ``column_name`` and ``q`` (one double per point).
     """
-    names = list(columns)
-    long = df.select(*(F.col(c).cast("double").alias(c) for c in names)).unpivot(
-        [], names, "column_name", "value"
-    )
-    freq = (
-        long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return quantiles_of(value_frequencies(df, columns), points, slices)
+
+
+def quantiles_of(
+    frequencies: DataFrame, points: Sequence[float], slices: int = SLICES
+) -> DataFrame:
+    """``exact_quantiles`` from ``value_frequencies``."""
+    freq = frequencies.where(F.col("value").isNotNull())
     # One row per column name, each with at most `slices` marks: a size fixed by the caller.
     steps = [i / slices for i in range(1, slices)]
     marks = freq.groupBy("column_name").agg(
