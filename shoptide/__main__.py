@@ -18,12 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoptide.operators import cleaning, profiles
 from shoptide.plans import (
+    abandonment,
     bronze_reports,
     category_reports,
     daily_reports,
     dimensions,
+    history,
     hourly_reports,
     lakehouse,
+    recommend,
+    rollups,
     silver_reports,
 )
 from shoptide.schemas import schema_report
@@ -85,7 +89,9 @@ EVENT_REPORTS: dict[str, Report] = {
         dimensions.anomaly_sessions,
         dimensions.negative_prices, dimensions.normalized_brands, dimensions.dim_product,
         dimensions.dim_user, dimensions.dim_category, dimensions.star_revenue,
-        dimensions.weekly_retention,
+        dimensions.weekly_retention, dimensions.group_anomaly_sessions,
+        history.dim_product_history, history.star_revenue_as_of, abandonment.abandoned_carts,
+        recommend.product_neighbours, rollups.gold_grains,
     )
 }
 EVENT_REPORTS |= {

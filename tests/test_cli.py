@@ -46,7 +46,7 @@ def test_fact_reports(spark, lake, name):
 @pytest.mark.parametrize("name", sorted(EVENT_REPORTS))
 def test_event_reports_over_silver(spark, lake, name):
     rows = report(spark, name, str(lake / "silver")).collect()
-    assert rows or name in {"anomaly_sessions", "nulls_found", "zero_price_examples", "duplicate_examples"}
+    assert rows or name in {"anomaly_sessions", "group_anomaly_sessions", "nulls_found", "zero_price_examples", "duplicate_examples"}
 
 
 def test_report_is_shown(lake, capsys):
