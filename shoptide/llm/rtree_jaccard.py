@@ -14,12 +14,18 @@ counts come from a sketch of fixed size over all documents; it steers the work,
 goes by hash. All documents that have a shingle among their first form a bucket, and buckets with the
 same members are one.
 
-Only who is reachable matters, so a bucket is never expanded into pairs: each member is linked to the
-likeliest earlier one its bound allows (a star), the pairs are verified and joined to components, and
-then only pairs across components are searched again, a few per member and more in each round, until
-no bucket holds a pair that is neither verified nor within one component. A bucket beyond
-``TILE_ROWS`` members is dealt over tiles; the smallest member and those outside its component, the
-strays, are known to every tile.
+Of a bucket only members stay that some other member's size allows: where the shingle of the bucket is
+the first that two sets share, those before it in either order are not shared.
+
+Only who is reachable matters, so no bucket is expanded into pairs. A task carries the 16-bit prints of
+its members' shingles: the share of one set's prints found in another bounds the overlap far closer
+than counts do. Members that the tree finds and the prints confirm are joined in a forest that the task
+keeps over all its buckets, and only edges that join two trees are handed on, fewer than it has
+members. Those edges are verified on the full sets. A second round repeats, on full sets, the buckets
+where a join by prints was refuted, and buckets of more than one tile that hold several components:
+there members outside the largest component, the strays, are dealt to blocks and meet every tile once.
+After it no bucket holds a linked pair outside one component. Tiles and blocks are bounded in members
+(``TILE_ROWS``) and in shingles (``TILE_SHINGLES``).
 
 Defined cases: equal sets are one class from the start. Null, empty and blank texts have no shingle
 and link with nothing. Rows that share a doc_id each have their own set; the id joins them.
@@ -52,15 +58,16 @@ SHINGLE_WORDS = 5
 THRESHOLD = 80
 #: Groups of shingles: the dimensions of a point.
 GROUPS = 64
-#: Groups of the finer counts that pairs are held against before their sets are fetched, at most.
-MAX_FINE = 1 << 14
 #: Slots of the sketch of shingle counts; a slot is heavy from this many deviations above the mean.
 SLOTS, SLICES, HEAVY_DEVIATIONS, HEAVY_LEAST = 1 << 20, 64, 12, 64
-#: Members of a bucket that one tree holds, about.
-TILE_ROWS = 4096
+#: Members of a bucket that one tree holds, about, and their shingles.
+TILE_ROWS, TILE_SHINGLES = 4096, 1 << 22
 #: Points of a leaf of the tree.
 LEAF = 16
-MAX_ROUNDS = 12
+#: Candidates of a member that are tested at once, to begin with.
+FIRST_TESTS = 8
+#: Members whose trees a task remembers; beyond it the forest starts anew.
+FOREST_ROWS = 1 << 20
 
 FIRST_PASS = T.StructType(
     [
@@ -79,24 +86,11 @@ SECOND_PASS = T.StructType(
         T.StructField("text_key", T.LongType()),
         T.StructField("n", T.IntegerType()),
         T.StructField("first", T.ArrayType(T.LongType())),
-        T.StructField("point", T.BinaryType()),
-    ]
-)
-FOUND = T.StructType(
-    [
-        T.StructField("a", T.LongType()),
-        T.StructField("b", T.LongType()),
-        T.StructField("more", T.BooleanType()),
-        T.StructField("bound", T.DoubleType()),
-    ]
-)
-SETS = T.StructType(
-    [
-        T.StructField("cid", T.LongType()),
-        T.StructField("set", T.BinaryType()),
-        T.StructField("fine", T.BinaryType()),
+        T.StructField("prints", T.BinaryType()),
     ]
 )
+SETS = "cid long, shingles binary"
+EDGES = "a long, b long"
 
 
 def shingle_sets(texts: list[bytes], cache: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -188,7 +182,7 @@ def _second_pass(heavy: bytes):
         cache = WordHashes()
         for batch in batches:
             for first, sets in shingle_sets(text_bytes(batch.column(2)), cache):
-                heads, points = [], []
+                heads, prints = [], []
                 for s in sets:
                     want = len(s) - (THRESHOLD * len(s) + 99) // 100 + 1 if len(s) else 0
                     late = bits[slots(s)]
@@ -196,9 +190,7 @@ def _second_pass(heavy: bytes):
                     if len(order) < want:
                         order = np.concatenate([order, s[late]])
                     heads.append((order[:want] >> np.uint64(16)).astype(np.int64))
-                    at = (s & np.uint64(GROUPS - 1)).astype(np.int64)
-                    counts = np.bincount(at, minlength=GROUPS)
-                    points.append(counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes())
+                    prints.append(s.astype("<u2").tobytes())
                 ends = np.zeros(len(sets) + 1, np.int32)
                 np.cumsum([len(h) for h in heads], out=ends[1:])
                 yield pa.RecordBatch.from_arrays(
@@ -207,7 +199,7 @@ def _second_pass(heavy: bytes):
                         batch.column(1).slice(first, len(sets)),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(heads))),
-                        pa.array(points, pa.binary()),
+                        pa.array(prints, pa.binary()),
                     ],
                     names=SECOND_PASS.names,
                 )
@@ -251,121 +243,122 @@ class RTree:
         return self.order[rows]
 
 
-def search_bucket(cids, comps, points, strays, most: int):
-    """Pairs of members of different components that the bound allows: at most ``most`` per member
-    that asks (strays ask; without any, all do), and whether some were left."""
-    pairs, left = [], False
-    if len(cids) < 2 or (comps == comps[0]).all():
-        return pairs, left
-    tree = RTree(points) if len(cids) > LEAF else None
+class Forest:
+    """Which numbers a task has joined so far."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        top = x
+        while (up := self.parent.get(top, top)) != top:
+            top = up
+        while x != top:
+            self.parent[x], x = top, self.parent[x]
+        return top
+
+    def join(self, a: int, b: int) -> None:
+        if len(self.parent) >= FOREST_ROWS:
+            self.parent.clear()
+        self.parent[max(a, b)] = min(a, b)
+
+
+def shared_prints(own: np.ndarray, others: list[np.ndarray], table: np.ndarray) -> np.ndarray:
+    """Per other set how many of its shingles have a print that ``own`` has too."""
+    starts = np.cumsum([0] + [len(o) for o in others[:-1]])
+    table[own] = 1
+    shared = np.add.reduceat(table[np.concatenate(others)], starts, dtype=np.int64)
+    table[own] = 0
+    return np.minimum(shared, len(own))
+
+
+def shared_shingles(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Per other set how many shingles it shares with ``own``; both are sorted."""
+    starts = np.cumsum([0] + [len(o) for o in others[:-1]])
+    every = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    return np.add.reduceat(own[at] == every, starts, dtype=np.int64)
+
+
+def search_cell(cids, comps, sets, asks, forest: Forest, shared) -> list[tuple[int, int]]:
+    """Edges that join what ``forest`` holds apart: each member that asks meets the others of the cell,
+    the likeliest first, and leaves out those it has come to be joined with."""
+    labels = np.array([forest.root(c) for c in comps.tolist()], np.int64)
+    if (labels == labels[0]).all():
+        return []
+    points = np.array([np.bincount((s & s.dtype.type(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
     sizes = points.sum(1)
-    ask = np.flatnonzero(strays) if strays.any() else np.arange(len(cids))
-    for i in ask:
+    tree = RTree(points) if len(cids) > LEAF else None
+    edges = []
+    for i in np.flatnonzero(asks):
         if tree is None:
-            shared = np.minimum(points, points[i]).sum(1)
-            near = np.flatnonzero((100 + THRESHOLD) * shared >= THRESHOLD * (sizes + sizes[i]))
+            near = np.arange(len(cids))
         else:
             near = tree.within(points[i])
-        near = near[comps[near] != comps[i]]
         # Of members that both ask, the later one does.
-        near = near[(cids[near] < cids[i]) | ~strays[near]] if strays.any() else near[cids[near] < cids[i]]
-        if not len(near):
-            continue
-        shared = np.minimum(points[near], points[i]).sum(1)
-        bound = shared / (sizes[near] + sizes[i] - shared)
-        if len(near) > most:  # the likeliest first
-            best = np.lexsort((cids[near], -bound))[:most]
-            near, bound, left = near[best], bound[best], True
-        pairs += [
-            (int(min(cids[i], cids[j])), int(max(cids[i], cids[j])), float(x))
-            for j, x in zip(near, bound)
-        ]
-    return pairs, left
-
-
-def _search(most: int):
-    """Over rows sorted by bucket and tile: bucket, tile, cid, comp, stray, point."""
-
-    def flush(rows: list[tuple]):
-        cids = np.array([r[2] for r in rows], np.int64)
-        cids, at = np.unique(cids, return_index=True)
-        rows = [rows[i] for i in at]
-        return search_bucket(
-            cids,
-            np.array([r[3] for r in rows], np.int64),
-            np.array([np.frombuffer(r[5], f"<u{len(r[5]) // GROUPS}") for r in rows], np.int64),
-            np.array([r[4] for r in rows], bool),
-            most,
-        )
+        near = near[(labels[near] != labels[i]) & ((near < i) | ~asks[near])]
+        bound = np.minimum(points[near], points[i]).sum(1)
+        may = (100 + THRESHOLD) * bound >= THRESHOLD * (sizes[near] + sizes[i])
+        near = near[may][np.argsort(-bound[may] / (sizes[near[may]] + sizes[i]), kind="stable")]
+        tests = FIRST_TESTS
+        while len(near):
+            batch, near = near[:tests], near[tests:]
+            both = shared(sets[i], [sets[j] for j in batch])
+            for j in batch[(100 + THRESHOLD) * both >= THRESHOLD * (sizes[batch] + sizes[i])]:
+                if labels[i] != labels[j]:
+                    edges.append((int(min(cids[i], cids[j])), int(max(cids[i], cids[j]))))
+                    forest.join(int(labels[i]), int(labels[j]))
+                    low, high = sorted((labels[i], labels[j]))
+                    labels[labels == high] = low
+            near = near[labels[near] != labels[i]]
+            tests *= 2
+        if (labels == labels[0]).all():
+            break
+    return edges
+
+
+def _search(exact: bool):
+    """Over rows sorted by bucket, tile and block: these, cid, comp, ask, and shingles or their prints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        known: set[tuple[int, int, float]] = set()
-
-        def out(found, left):
-            fresh = [p for p in dict.fromkeys(found) if p not in known]
-            if len(known) > 1 << 20:
-                known.clear()
-            known.update(fresh)
-            more = [left] * len(fresh)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([p[0] for p in fresh], pa.int64()),
-                    pa.array([p[1] for p in fresh], pa.int64()),
-                    pa.array(more, pa.bool_()),
-                    pa.array([p[2] for p in fresh], pa.float64()),
-                ],
-                names=FOUND.names,
+        forest, table = Forest(), np.zeros(1 << 16, np.uint8)
+        shared = shared_shingles if exact else lambda own, others: shared_prints(own, others, table)
+        dtype = np.dtype("<u8" if exact else "<u2")
+
+        def edges_of(cell: dict) -> list[tuple[int, int]]:
+            if len(cell) < 2:
+                return []
+            cids = sorted(cell)
+            return search_cell(
+                np.array(cids, np.int64),
+                np.array([cell[c][0] for c in cids], np.int64),
+                [np.frombuffer(cell[c][2], dtype) for c in cids],
+                np.array([cell[c][1] for c in cids], bool),
+                forest, shared,
             )
 
+        def out(edges):
+            a, b = zip(*edges)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        key, cell = None, {}
         for batch in batches:
-            found, any_left = [], False
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if rows and rows[-1][:2] != row[:2]:
-                    pairs, left = flush(rows)
-                    found += pairs
-                    any_left |= left
-                    rows = []
-                rows.append(row)
-            if found:
-                yield out(found, any_left)
-        if rows:
-            pairs, left = flush(rows)
-            if pairs:
-                yield out(pairs, left)
+            edges = []
+            for *place, cid, comp, ask, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                if place != key:
+                    edges += edges_of(cell)
+                    key, cell = place, {}
+                before = cell.get(cid)
+                cell[cid] = (comp, ask or bool(before and before[1]), shingles)
+            if edges:
+                yield out(edges)
+        edges = edges_of(cell)
+        if edges:
+            yield out(edges)
 
     return run
 
 
-def fine_point(hashes: np.ndarray) -> np.ndarray:
-    """Counts over as many groups as tell sets of this size apart, a power of two: about four
-    shingles a group. Counts of half as many groups are sums of two halves."""
-    groups = GROUPS
-    while groups * 4 < len(hashes) and groups < MAX_FINE:
-        groups *= 2
-    return np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype("<u2")
-
-
-def bound_of(x: np.ndarray, y: np.ndarray) -> int:
-    """At most this many shingles are in both."""
-    x, y = x.astype(np.int64), y.astype(np.int64)
-    if len(x) > len(y):
-        x, y = y, x
-    return int(np.minimum(x, y.reshape(-1, len(x)).sum(0)).sum())
-
-
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that the fine counts still allow."""
-    for batch in batches:
-        kept = []
-        for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-            x, y = np.frombuffer(x.as_buffer(), "<u2"), np.frombuffer(y.as_buffer(), "<u2")
-            sizes = int(x.sum(dtype=np.int64) + y.sum(dtype=np.int64))
-            if (100 + THRESHOLD) * bound_of(x, y) >= THRESHOLD * sizes:
-                kept.append(i)
-        yield batch.select([0, 1]).take(pa.array(kept, pa.int32()))
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
     for batch in batches:
@@ -374,9 +367,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     batch.column(0).slice(first, len(sets)),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([fine_point(s).tobytes() for s in sets], pa.binary()),
                 ],
-                names=SETS.names,
+                names=["cid", "shingles"],
             )
 
 
@@ -414,52 +406,24 @@ def classes(docs: DataFrame) -> DataFrame:
     own = cut(
         named.groupBy("d1", "d2", "_doc", "_key").agg(F.min("cid").alias("cid"))
     )
-    dealt = heads.select("cid", F.explode("first").alias("bucket"))
-    shared = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where("n >= 2").select("bucket")
-    members = cut(dealt.join(shared, "bucket").join(own.select("cid"), "cid"))
-    # Buckets with the same members are one.
-    mark = lambda seed: F.sum(
-        F.pmod(F.xxhash64(F.lit(seed), "cid"), F.lit(1 << 40))
-    ).alias(f"s{seed}")
-    sums = members.groupBy("bucket").agg(
-        F.count("*").alias("g"), F.min("cid").alias("hub"), mark(1), mark(2)
-    ).where("g >= 2")
-    kept = sums.groupBy("g", "hub", "s1", "s2").agg(F.min("bucket").alias("bucket"))
-    members = cut(members.join(kept.select("bucket", "g", "hub"), "bucket"))
-    points = heads.select("cid", "point")
-
-    links = tested = sets = reached = None
-    most = 1
-    for turn in range(MAX_ROUNDS):
-        found = cut(_candidates(members, points, reached).mapInArrow(_search(most), FOUND))
-        if turn == 0:  # one partner each is enough to begin with
-            likeliest = F.max_by("a", F.struct("bound", -F.col("a")))
-            pairs = found.groupBy("b").agg(likeliest.alias("a")).select("a", "b")
-        else:
-            pairs = found.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        more = found.agg(F.max("more")).first()[0]
-        fresh = not pairs.isEmpty()
-        if turn and not fresh and not more:
-            break
-        if fresh:
-            new = _linked(pairs, keyed, own, sets)
-            sets = new[1]
-            tested = pairs if tested is None else tested.union(pairs)
-            if links is None or not new[0].isEmpty():
-                links = new[0] if links is None else links.union(new[0])
-                links = cut(links)
-                reached = cut(
-                    components(links).select(F.col("node").alias("cid"), "component")
-                )
-        most *= 8
-    else:
-        raise RuntimeError(f"pairs across components remain after {MAX_ROUNDS} rounds")
+    members = _members(heads, own)
+    found = cut(_first_cells(members, heads).mapInArrow(_search(False), EDGES).distinct())
+    links = reached = None
+    if not found.isEmpty():
+        sets = _sets_of(found.select(F.col("a").alias("cid")).union(found.select("b")).distinct(), keyed, own)
+        side = lambda name, to: sets.select(F.col("cid").alias(name), F.col("shingles").alias(to))
+        beside = found.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+        links = cut(beside.mapInArrow(_verify, EDGES))
+        reached = cut(_placed(links))
+    left = cut(_open_buckets(members, found, links, reached))
+    if not left.isEmpty():
+        sets = _sets_of(left.select("cid").distinct(), keyed, own)
+        more = cut(_second_cells(left, sets).mapInArrow(_search(True), EDGES).distinct())
+        links = more if links is None else links.union(more)
+        reached = cut(_placed(links))
 
     named = own.select("d1", "d2", "cid")
-    if links is not None:
+    if reached is not None:
         named = named.join(reached, "cid", "left")
         named = named.select("d1", "d2", F.coalesce("component", "cid").alias("component"))
     else:
@@ -469,53 +433,108 @@ def classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(members: DataFrame, points: DataFrame, reached: DataFrame | None) -> DataFrame:
-    """Members of buckets that hold more than one component, dealt over tiles and sorted."""
+def _placed(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("cid"), "component")
+
+
+def _tiles(rows: str, shingles: str):
+    return F.greatest(
+        F.ceil(F.col(rows) / TILE_ROWS), F.ceil(F.col(shingles) / TILE_SHINGLES), F.lit(1)
+    ).cast("int")
+
+
+def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
+    """bucket, cid, n (shingles) and tiles of the buckets that may hold a pair."""
+    dealt = heads.select("cid", "n", F.posexplode("first").alias("at", "bucket"))
+    # Beside a set of ``most`` shingles at most n - at shared ones still reach the threshold.
+    most = F.floor((100 + THRESHOLD) * (F.col("n") - F.col("at")) / THRESHOLD) - F.col("n")
+    dealt = dealt.select("bucket", "cid", "n", most.cast("int").alias("most"))
+    shared = dealt.groupBy("bucket").agg(
+        F.count("*").alias("g"), F.min("n").alias("least_n"), F.max("most").alias("most_n")
+    ).where("g >= 2").drop("g")
+    fit = (F.col("most") >= F.col("least_n")) & (F.col("n") <= F.col("most_n"))
+    members = cut(
+        dealt.join(shared, "bucket").where(fit).select("bucket", "cid", "n").join(own.select("cid"), "cid")
+    )
+    # Buckets with the same members are one.
+    mark = lambda seed: F.sum(
+        F.pmod(F.xxhash64(F.lit(seed), "cid"), F.lit(1 << 40))
+    ).alias(f"s{seed}")
+    sums = members.groupBy("bucket").agg(
+        F.count("*").alias("g"), F.min("cid").alias("hub"), F.sum("n").alias("shingles"), mark(1), mark(2)
+    ).where("g >= 2")
+    kept = sums.groupBy("g", "hub", "shingles", "s1", "s2").agg(F.min("bucket").alias("bucket"))
+    return cut(members.join(kept.select("bucket", _tiles("g", "shingles").alias("tiles")), "bucket"))
+
+
+def _cells(rows: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Rows beside their shingles, one cell after the other."""
+    rows = rows.join(shingles, "cid").select("bucket", "tile", "block", "cid", "comp", "ask", shingles.columns[1])
+    place = ["bucket", "tile", "block"]
+    return rows.repartition(*(F.col(c) for c in place)).sortWithinPartitions(*place)
+
+
+def _first_cells(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """Every member meets those of its tile."""
+    dealt = members.select(
+        "bucket", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int").alias("tile"),
+        F.lit(0).alias("block"), "cid", F.col("cid").alias("comp"), F.lit(True).alias("ask"),
+    )
+    return _cells(dealt, heads.select("cid", "prints"))
+
+
+def _open_buckets(members, found, links, reached) -> DataFrame:
+    """Members, beside their components, of buckets that may still hold a pair across components."""
     if reached is None:
-        # The first round asks each member for one partner: a star around early members.
-        hubs, stray = members.withColumn("comp", F.col("cid")), F.lit(False)
+        placed = members.withColumn("comp", F.col("cid"))
     else:
-        placed = members.join(reached, "cid", "left").withColumn(
-            "comp", F.coalesce("component", "cid")
-        ).drop("component")
-        per = placed.groupBy("bucket").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.max(F.when(F.col("cid") == F.col("hub"), F.col("comp"))).alias("hub_comp"),
-        ).where("low < high")
-        hubs = placed.join(per.select("bucket", "hub_comp"), "bucket")
-        stray = F.col("comp") != F.col("hub_comp")
-    tiles = F.ceil(F.col("g") / TILE_ROWS)
-    everywhere = stray | (F.col("cid") == F.col("hub"))
-    dealt = hubs.withColumn("stray", stray).withColumn(
-        "tile",
-        F.explode(
-            F.when(everywhere, F.sequence(F.lit(0), tiles - 1)).otherwise(
-                F.array(F.pmod(F.xxhash64("cid"), tiles))
-            )
-        ),
+        placed = members.join(reached, "cid", "left").select(
+            *members.columns, F.coalesce("component", "cid").alias("comp")
+        )
+    apart = F.min("comp") < F.max("comp")
+    wide = placed.where("tiles > 1").groupBy("bucket").agg(apart.alias("apart")).where("apart").select("bucket")
+    if links is not None and not found.join(links, ["a", "b"], "left_anti").isEmpty():
+        # What a refuted edge had joined was not searched further.
+        joined = _placed(found).select("cid", F.col("component").alias("joined"))
+        doubtful = placed.join(joined, "cid").groupBy("bucket", "joined").agg(apart.alias("apart"))
+        wide = wide.union(doubtful.where("apart").select("bucket")).distinct()
+    return placed.join(wide, "bucket")
+
+
+def _second_cells(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members outside the largest component of a bucket meet all of it, block by tile."""
+    parts = left.groupBy("bucket", "comp").agg(
+        F.count("*").alias("rows"), F.sum("n").alias("shingles")
     )
-    rows = dealt.join(points, "cid").select("bucket", "tile", "cid", "comp", "stray", "point")
-    return rows.repartition(F.col("bucket"), F.col("tile")).sortWithinPartitions("bucket", "tile")
+    size = F.struct("rows", "shingles", "comp")
+    per = parts.groupBy("bucket").agg(
+        F.max(size).alias("main"), F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")
+    ).select(
+        "bucket", F.col("main.comp").alias("main"),
+        (F.col("rows") - F.col("main.rows")).alias("rows"),
+        (F.col("shingles") - F.col("main.shingles")).alias("shingles"),
+    ).where("rows > 0").select("bucket", "main", _tiles("rows", "shingles").alias("blocks"))
+    dealt = left.join(per, "bucket")
+    number = lambda seed, of: F.pmod(F.xxhash64("cid", F.lit(seed)), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    met = dealt.select(
+        "bucket", number(1, "tiles").alias("tile"), every("blocks").alias("block"), "cid", "comp",
+        F.lit(False).alias("ask"),
+    )
+    ask = dealt.where("comp <> main").select(
+        "bucket", every("tiles").alias("tile"), number(2, "blocks").alias("block"), "cid", "comp",
+        F.lit(True).alias("ask"),
+    )
+    return _cells(met.union(ask), sets)
 
 
-def _linked(pairs, keyed, own, sets):
-    """The pairs that verify, and all sets fetched so far."""
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    if sets is not None:
-        wanted = wanted.join(sets.select("cid"), "cid", "left_anti")
+def _sets_of(wanted: DataFrame, keyed: DataFrame, own: DataFrame) -> DataFrame:
+    """The full sets of the wanted cids."""
     sources = wanted.join(own.select("cid", "_doc", "_key"), "cid")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
     texts = maybe_among(keyed, "text_key", sources.select("_key"))
-    new = texts.join(sources, same).select("cid", "text").mapInArrow(_sets, SETS)
-    new = cut(new.dropDuplicates(["cid"]))
-    sets = new if sets is None else sets.union(new)
-
-    def beside(pairs: DataFrame, column: str) -> DataFrame:
-        side = lambda name, to: sets.select(F.col("cid").alias(name), F.col(column).alias(to))
-        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
-
-    near = cut(beside(pairs, "fine").mapInArrow(_bounded, "a long, b long"))
-    return cut(beside(near, "set").mapInArrow(_verify, "a long, b long")), sets
+    sets = texts.join(sources, same).select("cid", "text").mapInArrow(_sets, SETS)
+    return cut(sets.dropDuplicates(["cid"]))
 
 
 def joined(docs: DataFrame) -> DataFrame:
