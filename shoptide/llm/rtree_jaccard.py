@@ -19,7 +19,7 @@ the first that two sets share, those before it in either order are not shared.
 
 Only who is reachable matters, so no bucket is expanded into pairs. A task carries the 16-bit prints of
 its members' shingles: the share of one set's prints found in another bounds the overlap far closer
-than counts do. Members that the tree finds and the prints confirm are joined in a forest that the task
+than counts do; only members that the tree of counts leaves a partner get them. Members that the tree finds and the prints confirm are joined in a forest that the task
 keeps over all its buckets, and only edges that join two trees are handed on, fewer than it has
 members. Those edges are verified on the full sets. A second round repeats, on full sets, the buckets
 where a join by prints was refuted, and buckets of more than one tile that hold several components:
@@ -86,6 +86,7 @@ SECOND_PASS = T.StructType(
         T.StructField("text_key", T.LongType()),
         T.StructField("n", T.IntegerType()),
         T.StructField("first", T.ArrayType(T.LongType())),
+        T.StructField("point", T.BinaryType()),
         T.StructField("prints", T.BinaryType()),
     ]
 )
@@ -175,6 +176,20 @@ def heavy_slots(first: DataFrame) -> np.ndarray:
     return np.packbits(counts > mean + max(HEAVY_LEAST, HEAVY_DEVIATIONS * mean**0.5))
 
 
+def point_of(hashes: np.ndarray) -> np.ndarray:
+    """Counts of shingles, or of their prints, per group."""
+    return np.bincount((hashes & hashes.dtype.type(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+
+
+def pack_point(point: np.ndarray) -> bytes:
+    width = next(w for w in (1, 2, 4) if point.max() < 1 << 8 * w)
+    return point.astype(f"<u{width}").tobytes()
+
+
+def unpack_points(packed: list[bytes]) -> np.ndarray:
+    return np.array([np.frombuffer(p, f"<u{len(p) // GROUPS}") for p in packed], np.int64)
+
+
 def _second_pass(heavy: bytes):
     bits = np.unpackbits(np.frombuffer(heavy, np.uint8)).astype(bool)
 
@@ -182,7 +197,7 @@ def _second_pass(heavy: bytes):
         cache = WordHashes()
         for batch in batches:
             for first, sets in shingle_sets(text_bytes(batch.column(2)), cache):
-                heads, prints = [], []
+                heads, points, prints = [], [], []
                 for s in sets:
                     want = len(s) - (THRESHOLD * len(s) + 99) // 100 + 1 if len(s) else 0
                     late = bits[slots(s)]
@@ -190,6 +205,7 @@ def _second_pass(heavy: bytes):
                     if len(order) < want:
                         order = np.concatenate([order, s[late]])
                     heads.append((order[:want] >> np.uint64(16)).astype(np.int64))
+                    points.append(pack_point(point_of(s)))
                     prints.append(s.astype("<u2").tobytes())
                 ends = np.zeros(len(sets) + 1, np.int32)
                 np.cumsum([len(h) for h in heads], out=ends[1:])
@@ -199,6 +215,7 @@ def _second_pass(heavy: bytes):
                         batch.column(1).slice(first, len(sets)),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(heads))),
+                        pa.array(points, pa.binary()),
                         pa.array(prints, pa.binary()),
                     ],
                     names=SECOND_PASS.names,
@@ -286,7 +303,7 @@ def search_cell(cids, comps, sets, asks, forest: Forest, shared) -> list[tuple[i
     labels = np.array([forest.root(c) for c in comps.tolist()], np.int64)
     if (labels == labels[0]).all():
         return []
-    points = np.array([np.bincount((s & s.dtype.type(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
+    points = np.array([point_of(s) for s in sets])
     sizes = points.sum(1)
     tree = RTree(points) if len(cids) > LEAF else None
     edges = []
@@ -317,6 +334,43 @@ def search_cell(cids, comps, sets, asks, forest: Forest, shared) -> list[tuple[i
     return edges
 
 
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket and tile (these, cid, point) the bucket and cid of those whose point is
+    within reach of another's in the tile."""
+
+    def paired(rows: list[tuple]) -> list[tuple]:
+        if len(rows) < 2:
+            return []
+        points = unpack_points([r[3] for r in rows])
+        if len(rows) > 2 * LEAF:
+            tree = RTree(points)
+            return [r for r, p in zip(rows, points) if len(tree.within(p)) > 1]
+        sizes = points.sum(1)
+        bound = np.minimum(points[:, None, :], points[None, :, :]).sum(2)
+        near = (100 + THRESHOLD) * bound >= THRESHOLD * (sizes[:, None] + sizes[None, :])
+        return [rows[i] for i in np.flatnonzero(near.sum(1) > 1)]
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
+            names=["bucket", "cid"],
+        )
+
+    rows: list[tuple] = []
+    for batch in batches:
+        kept = []
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if rows and rows[-1][:2] != row[:2]:
+                kept += paired(rows)
+                rows = []
+            rows.append(row)
+        if kept:
+            yield out(kept)
+    kept = paired(rows)
+    if kept:
+        yield out(kept)
+
+
 def _search(exact: bool):
     """Over rows sorted by bucket, tile and block: these, cid, comp, ask, and shingles or their prints."""
 
@@ -448,10 +502,12 @@ def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
     dealt = heads.select("cid", "n", F.posexplode("first").alias("at", "bucket"))
     # Beside a set of ``most`` shingles at most n - at shared ones still reach the threshold.
     most = F.floor((100 + THRESHOLD) * (F.col("n") - F.col("at")) / THRESHOLD) - F.col("n")
-    dealt = dealt.select("bucket", "cid", "n", most.cast("int").alias("most"))
+    # The aggregate reads every column, so that it and the join share one shuffle.
+    dealt = dealt.select("bucket", "cid", "n", most.cast("int").alias("most")).repartition("bucket")
     shared = dealt.groupBy("bucket").agg(
-        F.count("*").alias("g"), F.min("n").alias("least_n"), F.max("most").alias("most_n")
-    ).where("g >= 2").drop("g")
+        F.min("n").alias("least_n"), F.max("most").alias("most_n"),
+        F.min("cid").alias("low"), F.max("cid").alias("high"),
+    ).where("low < high").drop("low", "high")
     fit = (F.col("most") >= F.col("least_n")) & (F.col("n") <= F.col("most_n"))
     members = cut(
         dealt.join(shared, "bucket").where(fit).select("bucket", "cid", "n").join(own.select("cid"), "cid")
@@ -464,7 +520,14 @@ def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
         F.count("*").alias("g"), F.min("cid").alias("hub"), F.sum("n").alias("shingles"), mark(1), mark(2)
     ).where("g >= 2")
     kept = sums.groupBy("g", "hub", "shingles", "s1", "s2").agg(F.min("bucket").alias("bucket"))
-    return cut(members.join(kept.select("bucket", _tiles("g", "shingles").alias("tiles")), "bucket"))
+    members = cut(members.join(kept.select("bucket", _tiles("g", "shingles").alias("tiles")), "bucket"))
+    # Prints are larger than points: only members that the tree leaves a partner get them.
+    narrow = members.where("tiles = 1").select("bucket", F.lit(0).alias("tile"), "cid")
+    pointed = narrow.join(heads.select("cid", "point"), "cid").select("bucket", "tile", "cid", "point")
+    pointed = pointed.repartition("bucket").sortWithinPartitions("bucket")
+    paired = pointed.mapInArrow(_paired, "bucket long, cid long").join(heads.select("cid", "n"), "cid")
+    paired = paired.select("bucket", "cid", "n", F.lit(1).alias("tiles"))
+    return cut(paired.union(members.where("tiles > 1").select("bucket", "cid", "n", "tiles")))
 
 
 def _cells(rows: DataFrame, shingles: DataFrame) -> DataFrame:
