@@ -3,10 +3,11 @@
 Vectors are compared within a label. Equal vectors are one class first, so a vector that thousands
 share is one point of the graph. The classes of a label are dealt over shards of ``SHARD_ROWS``; each
 shard's graph is built in one task of that bounded size and written as a table. Every class then
-queries every shard of its label, in chunks of ``CHUNK_ROWS``. A beam is widened for all queries until
-an audit of some queries against brute force finds ``AUDIT_RECALL`` of the links, and for any single
-query until the beam reaches below the threshold, so a crowd of near copies is found whole; a beam of
-a sixteenth of the shard meets most of it on its way, and is brute force from there. What a beam finds is verified by cosine in double precision.
+queries every shard of its label, in chunks of ``CHUNK_ROWS``. A beam leads each query to its nearest
+nodes, from where the graph is followed over all nodes that come near the threshold, so a crowd of near
+copies is found whole at any size. Beams are widened until an audit of some queries against brute force
+finds ``AUDIT_RECALL`` of the links; ``near_duplicates`` can write what each audit found. Shards of all
+sizes answer through their graph. What is found is verified by cosine in double precision.
 
 A task hands back a count per query and the edges of a spanning forest of the links it found, never
 the pairs; the forests are joined to components.
@@ -35,8 +36,12 @@ M = 12
 #: Beam of the build, and the first beam of the search.
 BUILD_BEAM, FIRST_BEAM = 48, 64
 AUDIT_QUERIES, AUDIT_RECALL = 64, 0.999
-#: A beam of this share of the shard has seen most of it, and is brute force from there.
-BRUTE = 16
+#: Nodes this far below the threshold still lead on to their neighbours.
+SLACK = 0.05
+#: Candidates among which a node chooses its neighbours.
+CHOICE = 64
+#: Nodes that choose at once.
+CHOICE_ROWS = 1024
 #: Queries that walk the graph in step.
 STEP_ROWS = 512
 #: Float rounding that a beam allows for before the exact check.
@@ -58,12 +63,15 @@ class Hnsw:
         levels = np.minimum(8, (-np.log(rng.random(n)) / np.log(M)).astype(np.int64))
         order = np.argsort(-levels, kind="stable")  # high levels first: entry points are there early
         top = int(levels.max())
-        graph = cls(vectors, levels, [np.full((n, 2 * M if x == 0 else M), EMPTY, np.int32) for x in range(top + 1)], int(order[0]))
+        # The lowest level has one more place, for bridges between parts.
+        widths = [2 * M + 1] + [M] * top
+        graph = cls(vectors, levels, [np.full((n, w), EMPTY, np.int32) for w in widths], int(order[0]))
         done = 1
         while done < n:
             batch = order[done : done + min(done, STEP_ROWS)]
             graph._insert(batch)
             done += len(batch)
+        graph._bridge()
         return graph
 
     def _insert(self, batch: np.ndarray) -> None:
@@ -72,48 +80,90 @@ class Hnsw:
         at = np.full(len(batch), self.entry, np.int64)
         for level in range(len(self.neighbours) - 1, -1, -1):
             on = np.flatnonzero(self.levels[batch] >= level)
-            beam = BUILD_BEAM if len(on) else 1
-            ids, sims = self._walk(queries, at, level, beam)
+            ids, sims = self._walk(queries, at, level, BUILD_BEAM if len(on) else 1)
             at = ids[:, 0]
-            width = self.neighbours[level].shape[1]
-            for i in on:
-                earlier = on[on < i]
-                cand = np.concatenate([ids[i][ids[i] != EMPTY], batch[earlier]])
-                sim = np.concatenate([sims[i][ids[i] != EMPTY], own[i, earlier]])
-                chosen = self._choose(cand, sim, width)
-                self.neighbours[level][batch[i], : len(chosen)] = chosen
-                for j in chosen:
-                    self._link_back(int(j), int(batch[i]), level)
-
-    def _choose(self, cand: np.ndarray, sim: np.ndarray, width: int) -> np.ndarray:
-        """Near nodes that are nearer to the new one than to each other; the rest by nearness."""
-        best = np.argsort(-sim, kind="stable")[: 4 * width]
-        cand, sim = cand[best], sim[best]
-        if len(cand) <= 2:
-            return cand
-        among = self.vectors[cand] @ self.vectors[cand].T
-        shadow = np.full(len(cand), -2.0, np.float32)
-        kept, spare = [], []
-        for i in range(len(cand)):
-            if shadow[i] < sim[i]:
-                kept.append(i)
-                np.maximum(shadow, among[i], out=shadow)
-                if len(kept) == width:
-                    break
-            else:
-                spare.append(i)
-        return cand[kept + spare[: max(0, width // 2 - len(kept))]]
-
-    def _link_back(self, node: int, new: int, level: int) -> None:
-        row = self.neighbours[level][node]
-        free = np.flatnonzero(row == EMPTY)
-        if len(free):
-            row[free[0]] = new
-            return
-        cand = np.append(row, new).astype(np.int64)
-        chosen = self._choose(cand, self.vectors[cand] @ self.vectors[node], len(row))
-        row[:] = EMPTY
-        row[: len(chosen)] = chosen
+            if not len(on):
+                continue
+            width = 2 * M if level == 0 else M
+            earlier = np.where(on[None, :] < on[:, None], own[np.ix_(on, on)], -np.inf)
+            cand = np.concatenate([ids[on], np.broadcast_to(batch[on], earlier.shape)], 1)
+            chosen = self._choose(cand, np.concatenate([sims[on], earlier], 1), width)
+            self.neighbours[level][batch[on], :width] = chosen
+            rows, cols = np.nonzero(chosen != EMPTY)
+            self._link_back(chosen[rows, cols], batch[on][rows], level, width)
+
+    def _choose(self, cand: np.ndarray, sims: np.ndarray, width: int) -> np.ndarray:
+        """Per row the candidates that are nearer to the node than to each other, and some of the rest
+        by nearness; candidates of similarity -inf are none. Padded by -1."""
+        parts = np.array_split(np.arange(len(cand)), len(cand) // CHOICE_ROWS + 1)
+        return np.concatenate([self._choose_some(cand[p], sims[p], width) for p in parts])
+
+    def _choose_some(self, cand: np.ndarray, sims: np.ndarray, width: int) -> np.ndarray:
+        best = np.argsort(-sims, 1, kind="stable")[:, : max(CHOICE, width)]
+        cand, sims = np.take_along_axis(cand, best, 1), np.take_along_axis(sims, best, 1)
+        valid = np.isfinite(sims)
+        points = self.vectors[np.where(valid, cand, 0)]
+        among = points @ points.transpose(0, 2, 1)
+        shadow = np.full(sims.shape, -2.0, np.float32)
+        kept = np.zeros(sims.shape, bool)
+        count = np.zeros(len(cand), np.int64)
+        for i in range(sims.shape[1]):
+            take = valid[:, i] & (shadow[:, i] < sims[:, i]) & (count < width)
+            kept[:, i] = take
+            count += take
+            shadow[take] = np.maximum(shadow[take], among[take, i])
+        spare = valid & ~kept
+        spare &= spare.cumsum(1) <= np.maximum(0, width // 2 - count)[:, None]
+        rank = np.where(kept, 0, np.where(spare, 1, 2))
+        first = np.argsort(rank, 1, kind="stable")[:, :width]
+        out = np.where(
+            np.take_along_axis(rank, first, 1) < 2, np.take_along_axis(cand, first, 1), EMPTY
+        )
+        padding = np.full((len(out), width - out.shape[1]), EMPTY, out.dtype)
+        return np.concatenate([out, padding], 1)
+
+    def _link_back(self, nodes: np.ndarray, news: np.ndarray, level: int, width: int) -> None:
+        """Adds ``news`` to the neighbours of ``nodes``; full nodes choose anew, once per ``width``."""
+        links = self.neighbours[level]
+        order = np.argsort(nodes, kind="stable")
+        nodes, news = nodes[order].astype(np.int64), news[order]
+        starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
+        place = np.arange(len(nodes)) - np.repeat(starts, np.diff(np.r_[starts, len(nodes)]))
+        for turn in range(int(place.max(initial=0)) // width + 1):
+            now = place // width == turn
+            targets, row = np.unique(nodes[now], return_inverse=True)
+            cand = np.full((len(targets), 2 * width), EMPTY, np.int64)
+            cand[:, :width] = links[targets, :width]
+            cand[row, width + place[now] % width] = news[now]
+            count = (cand != EMPTY).sum(1)
+            fits = count <= width
+            packed = np.take_along_axis(cand, np.argsort(cand == EMPTY, 1, kind="stable"), 1)
+            links[targets[fits], :width] = packed[fits, :width]
+            full = np.flatnonzero(~fits)
+            for part in np.array_split(full, len(full) // CHOICE_ROWS + 1):
+                if len(part):
+                    sims = np.einsum("qd,qmd->qm", self.vectors[targets[part]], self.vectors[cand[part]])
+                    sims[cand[part] == EMPTY] = -np.inf
+                    links[targets[part], :width] = self._choose(cand[part], sims, width)
+
+    def _bridge(self) -> None:
+        """Makes every node reachable from the entry on the lowest level."""
+        links = self.neighbours[0]
+        seen = np.zeros(len(links), bool)
+        front = np.array([self.entry])
+        while True:
+            while len(front):
+                seen[front] = True
+                front = np.unique(links[front])
+                front = front[front != EMPTY]
+                front = front[~seen[front]]
+            left = np.flatnonzero(~seen)
+            if not len(left):
+                break
+            free = np.flatnonzero(seen & (links[:, -1] == EMPTY))
+            nearest = free[(self.vectors[free] @ self.vectors[left[0]]).argmax()]
+            links[nearest, -1] = left[0]
+            front = left[:1]
 
     def _walk(self, queries: np.ndarray, at: np.ndarray, level: int, beam: int):
         """Beam search of all queries in step: ids and similarities, best first."""
@@ -152,38 +202,45 @@ class Hnsw:
         return self._walk(queries, at, 0, beam)
 
     def near(self, queries: np.ndarray, beam: int, threshold: float) -> list[np.ndarray]:
-        """Nodes of similarity ``threshold`` or more per query, the beam widened where it is full of
-        them, up to brute force."""
-        found: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
-        left = np.arange(len(queries))
-        while len(left):
-            if BRUTE * beam >= len(self.vectors):
-                for part in np.array_split(left, len(left) // STEP_ROWS + 1):
-                    hit = queries[part] @ self.vectors.T >= threshold
-                    for i, row in zip(part, hit):
-                        found[i] = np.flatnonzero(row)
-                break
-            full = []
-            for part in np.array_split(left, len(left) // STEP_ROWS + 1):
-                ids, sims = self.search(queries[part], beam)
-                for i, own, sim in zip(part, ids, sims):
-                    found[i] = own[sim >= threshold]
-                full += part[sims[:, -1] >= threshold].tolist()
-            left, beam = np.array(full, np.int64), beam * 4
+        """Nodes of similarity ``threshold`` or more per query."""
+        found: list[np.ndarray] = []
+        seen = np.zeros(len(self.vectors), bool)
+        beam = min(beam, len(self.vectors))
+        step = max(1, STEP_ROWS * FIRST_BEAM // max(beam, FIRST_BEAM))
+        for part in np.array_split(np.arange(len(queries)), len(queries) // step + 1):
+            ids, sims = self.search(queries[part], beam)
+            for i, own, sim in zip(part, ids, sims):
+                found.append(self._follow(queries[i], own[sim >= threshold - SLACK], threshold, seen))
         return found
 
-    def audited_beam(self, queries: np.ndarray, threshold: float) -> int:
-        """The beam at which the audited queries find nearly all that brute force finds."""
+    def _follow(self, query: np.ndarray, front: np.ndarray, threshold: float, seen: np.ndarray) -> np.ndarray:
+        """The nodes of the threshold among ``front`` and what the graph leads to from there over nodes
+        less than ``SLACK`` below it. ``seen`` is all false before and after."""
+        visited, hits = [front], []
+        seen[front] = True
+        while len(front):
+            sims = self.vectors[front] @ query
+            hits.append(front[sims >= threshold])
+            near = self.neighbours[0][front[sims >= threshold - SLACK]].ravel()
+            near = near[near != EMPTY]
+            front = np.unique(near[~seen[near]]).astype(np.int64)
+            seen[front] = True
+            visited.append(front)
+        seen[np.concatenate(visited)] = False
+        return np.concatenate(hits) if hits else front
+
+    def audited_beam(self, queries: np.ndarray, threshold: float) -> tuple[int, int, int]:
+        """The beam at which the audited queries find nearly all that brute force finds, and how many
+        links they found then, of how many."""
         queries = queries[:: max(1, len(queries) // AUDIT_QUERIES)]
         truth = [np.flatnonzero(row) for row in queries @ self.vectors.T >= threshold]
         wanted, beam = sum(map(len, truth)), FIRST_BEAM
-        while BRUTE * beam < len(self.vectors):
+        while True:
             found = self.near(queries, beam, threshold)
             hits = sum(len(np.intersect1d(a, b)) for a, b in zip(found, truth))
-            if hits >= AUDIT_RECALL * wanted:
-                break
+            if hits >= AUDIT_RECALL * wanted or beam >= len(self.vectors):
+                return beam, hits, wanted
             beam *= 2
-        return beam
 
     def pack(self) -> bytes:
         out = io.BytesIO()
@@ -221,15 +278,16 @@ def build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def query_shard(queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-    """Per query its number of links in the shard, and edges of a spanning forest of the links."""
+    """Per query its number of links in the shard, edges of a spanning forest of the links, and what the
+    audit found of what it wanted."""
     if not len(queries) or not len(shard):
-        return pd.DataFrame({"cid": [], "links": [], "to": []}).astype("int64")
+        return pd.DataFrame({"cid": [], "links": [], "to": [], "hits": [], "wanted": []}).astype("int64")
     one = shard.iloc[0]
     graph = Hnsw.unpack(one["graph"])
     cids, copies = np.asarray(one["cids"]), np.asarray(one["copies"])
     exact = np.frombuffer(one["exact"]).reshape(len(cids), -1)
     own, unit = units(queries["vector"])
-    beam = graph.audited_beam(unit, THRESHOLD - MARGIN)
+    beam, hits, wanted = graph.audited_beam(unit, THRESHOLD - MARGIN)
     lengths, own_lengths = np.linalg.norm(exact, axis=1), np.linalg.norm(own, axis=1)
     ids = queries["cid"].to_numpy()
     parent: dict[int, int] = {}
@@ -254,11 +312,18 @@ def query_shard(queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
                 out_cid.append(ids[i])
                 out_links.append(0)
                 out_to.append(j)
-    return pd.DataFrame({"cid": out_cid, "links": out_links, "to": out_to}, dtype="int64")
+    found = pd.DataFrame({"cid": out_cid, "links": out_links, "to": out_to}, dtype="int64")
+    # The audit stands beside the first row.
+    first = np.arange(len(found)) == 0
+    return found.assign(hits=np.where(first, hits, 0), wanted=np.where(first, wanted, 0))
+
 
+def near_duplicates(
+    vectors: DataFrame, shard_rows: int = SHARD_ROWS, audit_path: str | None = None
+) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector.
 
-def near_duplicates(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every vector."""
+    ``audit_path`` takes a table of what the audits found (hits) of what brute force finds (wanted)."""
     values = F.col("embedding").cast("array<double>")
     finite = F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.col("label").isNotNull() & finite & F.exists(values, lambda v: v != 0)
@@ -291,9 +356,11 @@ def near_duplicates(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFra
     ).drop("shards", "chunks")
     keys = ["space", "shard", "chunk"]
     found = queries.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
-        query_shard, "cid long, links long, to long"
+        query_shard, "cid long, links long, to long, hits long, wanted long"
     )
     found = cut(found)
+    if audit_path is not None:
+        found.where("wanted > 0").select("hits", "wanted").write.parquet(audit_path)
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     reached = components(found.where("cid <> to"), "cid", "to").select(
         F.col("node").alias("cid"), "component"

@@ -406,6 +406,42 @@ def test_embeddings_match_brute_force(spark):
     assert {tuple(r) for r in hnsw_dedup.near_duplicates(frame, shard_rows=60).collect()} == want
 
 
+def test_links_come_through_the_graph(spark, tmp_path):
+    """5,000 vectors of one label: pairs, groups, and a crowd larger than any beam."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(2400, 32))
+    of = np.r_[np.repeat(np.arange(2000), 2), np.arange(2000, 2400), np.full(600, 0)]
+    x = centres[of] + rng.normal(size=(len(of), 32)) * 0.18
+    frame = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    audit = str(tmp_path / "audit")
+    got = {r.vec_id: r.n_links for r in hnsw_dedup.near_duplicates(frame, audit_path=audit).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert want.max() > 64
+    assert all(got[i] <= n for i, n in enumerate(want))
+    assert sum(got.values()) >= 0.99 * want.sum()
+    (seen,) = spark.read.parquet(audit).collect()
+    assert seen.hits >= hnsw_dedup.AUDIT_RECALL * seen.wanted > 0
+
+
+def test_embeddings_of_nothing(spark):
+    frame = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
+    assert hnsw_dedup.near_duplicates(frame).collect() == []
+
+
+def test_graph_reaches_every_node():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(40, 8))[np.repeat(np.arange(40), 50)] + rng.normal(size=(2000, 8)) * 1e-3).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw_dedup.Hnsw.build(x)
+    ids, _ = graph.search(x[:3], len(x))
+    assert all(set(row.tolist()) == set(range(len(x))) for row in ids)
+
+
 def test_graph_recall():
     import numpy as np
 
