@@ -19,11 +19,14 @@ the first that two sets share, those before it in either order are not shared.
 
 Only who is reachable matters, so no bucket is expanded into pairs. A task carries the 16-bit prints of
 its members' shingles: the share of one set's prints found in another bounds the overlap far closer
-than counts do; only members that the tree of counts leaves a partner get them. Members that the tree finds and the prints confirm are joined in a forest that the task
-keeps over all its buckets, and only edges that join two trees are handed on, fewer than it has
+than counts do; only members that the tree of counts leaves a partner get them. Long sets are
+counted in more groups, about ``GROUP_SHINGLES`` shingles each: coarse counts of two long sets are alike
+whatever they hold. Counts in fewer groups are sums of those in more, so points of any two sets compare.
+Members that the tree finds and the prints confirm are joined in a forest that the task keeps over all its buckets, and only edges that join two trees are handed on, fewer than it has
 members. Those edges are verified on the full sets. A second round repeats, on full sets, the buckets
 where a join by prints was refuted, and buckets of more than one tile that hold several components:
-there members outside the largest component, the strays, are dealt to blocks and meet every tile once.
+there members outside the largest component, the strays, are dealt to blocks and meet every tile once,
+again by their counts first: full sets follow only where a stray may reach another component.
 After it no bucket holds a linked pair outside one component. Tiles and blocks are bounded in members
 (``TILE_ROWS``) and in shingles (``TILE_SHINGLES``).
 
@@ -58,6 +61,8 @@ SHINGLE_WORDS = 5
 THRESHOLD = 80
 #: Groups of shingles: the dimensions of a point.
 GROUPS = 64
+#: Shingles of a group, at most about, in the points of long sets.
+GROUP_SHINGLES = 4
 #: Slots of the sketch of shingle counts; a slot is heavy from this many deviations above the mean.
 SLOTS, SLICES, HEAVY_DEVIATIONS, HEAVY_LEAST = 1 << 20, 64, 12, 64
 #: Members of a bucket that one tree holds, about, and their shingles.
@@ -92,6 +97,7 @@ SECOND_PASS = T.StructType(
 )
 SETS = "cid long, shingles binary"
 EDGES = "a long, b long"
+CELLS = "bucket long, tile int, block int, cid long, comp long, ask boolean"
 
 
 def shingle_sets(texts: list[bytes], cache: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -176,18 +182,28 @@ def heavy_slots(first: DataFrame) -> np.ndarray:
     return np.packbits(counts > mean + max(HEAVY_LEAST, HEAVY_DEVIATIONS * mean**0.5))
 
 
-def point_of(hashes: np.ndarray) -> np.ndarray:
-    """Counts of shingles, or of their prints, per group."""
-    return np.bincount((hashes & hashes.dtype.type(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+def point_of(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """Counts of shingles, or of their prints, per group; ``groups`` is a power of two."""
+    return np.bincount((hashes & hashes.dtype.type(groups - 1)).astype(np.int64), minlength=groups)
 
 
-def pack_point(point: np.ndarray) -> bytes:
+def fine_point(hashes: np.ndarray) -> bytes:
+    """Counts in as many groups as the set is long; the first byte is the width of a count."""
+    groups = GROUPS
+    while groups * GROUP_SHINGLES < len(hashes):
+        groups *= 2
+    point = point_of(hashes, groups)
     width = next(w for w in (1, 2, 4) if point.max() < 1 << 8 * w)
-    return point.astype(f"<u{width}").tobytes()
+    return bytes([width]) + point.astype(f"<u{width}").tobytes()
 
 
-def unpack_points(packed: list[bytes]) -> np.ndarray:
-    return np.array([np.frombuffer(p, f"<u{len(p) // GROUPS}") for p in packed], np.int64)
+def unpack_point(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+
+
+def fold(point: np.ndarray, groups: int) -> np.ndarray:
+    """The counts in fewer groups."""
+    return point if len(point) == groups else point.reshape(-1, groups).sum(0, dtype=np.int64)
 
 
 def _second_pass(heavy: bytes):
@@ -205,7 +221,7 @@ def _second_pass(heavy: bytes):
                     if len(order) < want:
                         order = np.concatenate([order, s[late]])
                     heads.append((order[:want] >> np.uint64(16)).astype(np.int64))
-                    points.append(pack_point(point_of(s)))
+                    points.append(fine_point(s))
                     prints.append(s.astype("<u2").tobytes())
                 ends = np.zeros(len(sets) + 1, np.int32)
                 np.cumsum([len(h) for h in heads], out=ends[1:])
@@ -334,39 +350,73 @@ def search_cell(cids, comps, sets, asks, forest: Forest, shared) -> list[tuple[i
     return edges
 
 
-def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by bucket and tile (these, cid, point) the bucket and cid of those whose point is
-    within reach of another's in the tile."""
+def reaching(comps: np.ndarray, asks: np.ndarray, fine: list[np.ndarray]) -> np.ndarray:
+    """Indices of the members whose counts let them reach a member of another component, where one of
+    the two asks."""
+    points = np.array([fold(p, GROUPS) for p in fine], np.int64)
+    sizes = points.sum(1)
+    tree = RTree(points) if len(points) > 2 * LEAF else None
+    known = np.zeros(len(points), bool)
+
+    def within(i: int, others: np.ndarray) -> np.ndarray:
+        hits = []
+        # Of two points the finer one is folded.
+        widths = np.array([min(len(fine[i]), len(fine[j])) for j in others])
+        for groups in np.unique(widths):
+            part, own = others[widths == groups], fold(fine[i], groups)
+            bound = np.minimum(np.array([fold(fine[j], groups) for j in part]), own).sum(1, dtype=np.int64)
+            hits.append(part[(100 + THRESHOLD) * bound >= THRESHOLD * (sizes[part] + sizes[i])])
+        return np.concatenate(hits)
 
-    def paired(rows: list[tuple]) -> list[tuple]:
-        if len(rows) < 2:
+    for i in np.flatnonzero(asks):
+        near = np.arange(len(points)) if tree is None else tree.within(points[i])
+        near = near[comps[near] != comps[i]]
+        # Those that do not ask are found by those that do; of the others one hit is enough.
+        silent = ~asks[near] & ~known[near]
+        rounds, rest, tests = [near[silent]], near[~silent], FIRST_TESTS
+        while len(rest):
+            rounds.append(rest[:tests])
+            rest, tests = rest[tests:], tests * 2
+        for at, others in enumerate(rounds):
+            if at and known[i]:
+                break
+            if len(others):
+                hits = within(i, others)
+                known[hits] = True
+                known[i] |= len(hits) > 0
+    return np.flatnonzero(known)
+
+
+def _reaching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket, tile and block (these, cid, comp, ask, point) those that ``reaching``
+    finds in their cell, without the point."""
+
+    def reached(cell: dict) -> list[tuple]:
+        if len(cell) < 2:
             return []
-        points = unpack_points([r[3] for r in rows])
-        if len(rows) > 2 * LEAF:
-            tree = RTree(points)
-            return [r for r, p in zip(rows, points) if len(tree.within(p)) > 1]
-        sizes = points.sum(1)
-        bound = np.minimum(points[:, None, :], points[None, :, :]).sum(2)
-        near = (100 + THRESHOLD) * bound >= THRESHOLD * (sizes[:, None] + sizes[None, :])
-        return [rows[i] for i in np.flatnonzero(near.sum(1) > 1)]
-
-    def out(rows):
+        rows = list(cell.values())
+        comps, asks = np.array([r[4] for r in rows], np.int64), np.array([r[5] for r in rows], bool)
+        return [rows[i][:6] for i in reaching(comps, asks, [unpack_point(r[6]) for r in rows])]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())],
-            names=["bucket", "cid"],
+            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+            names=["bucket", "tile", "block", "cid", "comp", "ask"],
         )
 
-    rows: list[tuple] = []
+    key, cell = None, {}
     for batch in batches:
         kept = []
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if rows and rows[-1][:2] != row[:2]:
-                kept += paired(rows)
-                rows = []
-            rows.append(row)
+            if row[:3] != key:
+                kept += reached(cell)
+                key, cell = row[:3], {}
+            before = cell.get(row[3])
+            cell[row[3]] = (*row[:5], row[5] or bool(before and before[5]), row[6])
         if kept:
             yield out(kept)
-    kept = paired(rows)
+    kept = reached(cell)
     if kept:
         yield out(kept)
 
@@ -461,7 +511,7 @@ def classes(docs: DataFrame) -> DataFrame:
         named.groupBy("d1", "d2", "_doc", "_key").agg(F.min("cid").alias("cid"))
     )
     members = _members(heads, own)
-    found = cut(_first_cells(members, heads).mapInArrow(_search(False), EDGES).distinct())
+    found = cut(_cells(_every_asks(members), heads.select("cid", "prints")).mapInArrow(_search(False), EDGES).distinct())
     links = reached = None
     if not found.isEmpty():
         sets = _sets_of(found.select(F.col("a").alias("cid")).union(found.select("b")).distinct(), keyed, own)
@@ -471,8 +521,9 @@ def classes(docs: DataFrame) -> DataFrame:
         reached = cut(_placed(links))
     left = cut(_open_buckets(members, found, links, reached))
     if not left.isEmpty():
-        sets = _sets_of(left.select("cid").distinct(), keyed, own)
-        more = cut(_second_cells(left, sets).mapInArrow(_search(True), EDGES).distinct())
+        met = cut(_cells(_second_cells(left), heads.select("cid", "point")).mapInArrow(_reaching, CELLS))
+        sets = _sets_of(met.select("cid").distinct(), keyed, own)
+        more = cut(_cells(met, sets).mapInArrow(_search(True), EDGES).distinct())
         links = more if links is None else links.union(more)
         reached = cut(_placed(links))
 
@@ -502,8 +553,9 @@ def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
     dealt = heads.select("cid", "n", F.posexplode("first").alias("at", "bucket"))
     # Beside a set of ``most`` shingles at most n - at shared ones still reach the threshold.
     most = F.floor((100 + THRESHOLD) * (F.col("n") - F.col("at")) / THRESHOLD) - F.col("n")
-    # The aggregate reads every column, so that it and the join share one shuffle.
-    dealt = dealt.select("bucket", "cid", "n", most.cast("int").alias("most")).repartition("bucket")
+    # The aggregate reads every column and the filter is that of the join: they share one shuffle.
+    dealt = dealt.select("bucket", "cid", "n", most.cast("int").alias("most"))
+    dealt = dealt.where("bucket is not null and n is not null and most is not null").repartition("bucket")
     shared = dealt.groupBy("bucket").agg(
         F.min("n").alias("least_n"), F.max("most").alias("most_n"),
         F.min("cid").alias("low"), F.max("cid").alias("high"),
@@ -522,10 +574,8 @@ def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
     kept = sums.groupBy("g", "hub", "shingles", "s1", "s2").agg(F.min("bucket").alias("bucket"))
     members = cut(members.join(kept.select("bucket", _tiles("g", "shingles").alias("tiles")), "bucket"))
     # Prints are larger than points: only members that the tree leaves a partner get them.
-    narrow = members.where("tiles = 1").select("bucket", F.lit(0).alias("tile"), "cid")
-    pointed = narrow.join(heads.select("cid", "point"), "cid").select("bucket", "tile", "cid", "point")
-    pointed = pointed.repartition("bucket").sortWithinPartitions("bucket")
-    paired = pointed.mapInArrow(_paired, "bucket long, cid long").join(heads.select("cid", "n"), "cid")
+    pointed = _cells(_every_asks(members.where("tiles = 1")), heads.select("cid", "point"))
+    paired = pointed.mapInArrow(_reaching, CELLS).select("bucket", "cid").join(heads.select("cid", "n"), "cid")
     paired = paired.select("bucket", "cid", "n", F.lit(1).alias("tiles"))
     return cut(paired.union(members.where("tiles > 1").select("bucket", "cid", "n", "tiles")))
 
@@ -537,13 +587,12 @@ def _cells(rows: DataFrame, shingles: DataFrame) -> DataFrame:
     return rows.repartition(*(F.col(c) for c in place)).sortWithinPartitions(*place)
 
 
-def _first_cells(members: DataFrame, heads: DataFrame) -> DataFrame:
+def _every_asks(members: DataFrame) -> DataFrame:
     """Every member meets those of its tile."""
-    dealt = members.select(
+    return members.select(
         "bucket", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int").alias("tile"),
         F.lit(0).alias("block"), "cid", F.col("cid").alias("comp"), F.lit(True).alias("ask"),
     )
-    return _cells(dealt, heads.select("cid", "prints"))
 
 
 def _open_buckets(members, found, links, reached) -> DataFrame:
@@ -564,7 +613,7 @@ def _open_buckets(members, found, links, reached) -> DataFrame:
     return placed.join(wide, "bucket")
 
 
-def _second_cells(left: DataFrame, sets: DataFrame) -> DataFrame:
+def _second_cells(left: DataFrame) -> DataFrame:
     """Members outside the largest component of a bucket meet all of it, block by tile."""
     parts = left.groupBy("bucket", "comp").agg(
         F.count("*").alias("rows"), F.sum("n").alias("shingles")
@@ -588,7 +637,7 @@ def _second_cells(left: DataFrame, sets: DataFrame) -> DataFrame:
         "bucket", every("tiles").alias("tile"), number(2, "blocks").alias("block"), "cid", "comp",
         F.lit(True).alias("ask"),
     )
-    return _cells(met.union(ask), sets)
+    return met.union(ask)
 
 
 def _sets_of(wanted: DataFrame, keyed: DataFrame, own: DataFrame) -> DataFrame:
