@@ -553,9 +553,10 @@ def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
     dealt = heads.select("cid", "n", F.posexplode("first").alias("at", "bucket"))
     # Beside a set of ``most`` shingles at most n - at shared ones still reach the threshold.
     most = F.floor((100 + THRESHOLD) * (F.col("n") - F.col("at")) / THRESHOLD) - F.col("n")
-    # The aggregate reads every column and the filter is that of the join: they share one shuffle.
+    # The aggregate reads every column and the filter is that of the joins: they share one shuffle.
     dealt = dealt.select("bucket", "cid", "n", most.cast("int").alias("most"))
-    dealt = dealt.where("bucket is not null and n is not null and most is not null").repartition("bucket")
+    known = "bucket is not null and cid is not null and n is not null and most is not null"
+    dealt = dealt.where(known).repartition("bucket")
     shared = dealt.groupBy("bucket").agg(
         F.min("n").alias("least_n"), F.max("most").alias("most_n"),
         F.min("cid").alias("low"), F.max("cid").alias("high"),
