@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from shoptide.llm import (
@@ -189,6 +190,28 @@ def test_join_matches_brute_force(docs, rows):
     assert {tuple(r) for r in rtree_jaccard.joined(docs).collect()} == brute_classes(rows)
 
 
+def test_counts_leave_no_pair_out():
+    rng = np.random.default_rng(3)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+    sets = [draw(int(n)) for n in rng.integers(900, 7000, 30)]
+    for n in (40, 300, 1500, 6000):
+        whole = draw(n)
+        sets += [np.union1d(whole[rng.random(n) < 1 - 0.04 * k], draw(n // 30 * k)) for k in range(6)]
+    fine = [rtree_jaccard.unpack_point(rtree_jaccard.fine_point(s)) for s in sets]
+    every = np.arange(len(sets))
+    for comps, share in ((every, 1.0), (every, 0.4), (rng.integers(0, 8, len(sets)), 0.4)):
+        asks = rng.random(len(sets)) < share
+        linked = set()
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                both = len(np.intersect1d(a, b))
+                if comps[i] != comps[j] and (asks[i] or asks[j]) and 100 * both >= 80 * (len(a) + len(b) - both):
+                    linked |= {i, j}
+        found = set(rtree_jaccard.reaching(comps, asks, fine).tolist())
+        assert linked and linked <= found
+        assert len(found) < len(sets) / 2  # long unrelated sets are told apart
+
+
 def test_join_over_tiles(spark, monkeypatch):
     monkeypatch.setattr(rtree_jaccard, "TILE_ROWS", 6)
     rnd = random.Random(5)
