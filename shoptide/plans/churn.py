@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptide.functions import is_cart, is_purchase, total_money
+from shoptide.session import reloaded
 
 #: Inputs of the model; all of them are known on the evening before the day they are taken as of.
 FEATURES = (
@@ -77,7 +78,7 @@ def train_churn(examples: DataFrame, penalty: float = 0.01) -> PipelineModel:
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True),
         LogisticRegression(featuresCol="scaled", labelCol="label", regParam=penalty, maxIter=50),
     ]
-    return Pipeline(stages=stages).fit(examples.where("not held_out"))
+    return reloaded(examples.sparkSession, Pipeline(stages=stages).fit(examples.where("not held_out")))
 
 
 def churn_scores(

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import math
+import uuid
+from typing import TypeVar
 
+from pyspark.ml.util import JavaMLWritable
 from pyspark.sql import SparkSession
 
+Model = TypeVar("Model", bound=JavaMLWritable)
+
 MB, GB = 2**20, 2**30
 PARTITION_BYTES = 128 * MB
 FINE_PARTITIONS = 20_000
@@ -64,3 +69,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{name}"
+
+
+def reloaded(spark: SparkSession, model: Model) -> Model:
+    """The fitted model, written to the shared folder and read back.
+
+    What ``fit`` returns holds its training summary and thereby the session, which Spark cannot send to
+    tasks any more once a frame of that session was observed. The written model holds neither.
+    """
+    path = shared_folder(spark, f"model-{uuid.uuid4().hex}")
+    model.write().save(path)
+    return type(model).load(path)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from frames import events
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shoptide.plans import churn, recommend
@@ -168,6 +169,14 @@ def test_nothing_after_the_day_changes_features_or_scores(spark, buyers):
     assert before.keys() == after.keys() and all(abs(before[u] - after[u]) < 1e-6 for u in before)
 
 
+def test_scores_in_a_session_that_observed_rows(spark, buyers):
+    """A model straight from its fit drags the session along, and that cannot be sent any more then."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    assert all(0 <= r.churn_probability <= 1 for r in churn.churn_scores(buyers, AS_OF).collect())
+
+
 def test_held_out_users_are_not_learnt_from(spark, buyers):
     examples = churn.labelled(buyers, dt.date(2019, 10, 15))
     turned = examples.withColumn("label", F.when(F.col("held_out"), 1 - F.col("label")).otherwise(F.col("label")))
