@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import uuid
 
+import pandas as pd
 import pytest
 from frames import EDGE, edge_frame, events
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from shoptide.operators import cleaning, enrichment
 from shoptide.operators.metrics import fact
@@ -16,7 +18,7 @@ from shoptide.plans.silver import silver_rows
 from shoptide.schemas import RAW
 from shoptide.sources.driver_tables import shop_events
 from shoptide.sources.tables import read_events
-from shoptide.streaming import jobs, sinks, sources
+from shoptide.streaming import funnel_state, jobs, sinks, sources
 from shoptide.streaming.funnel_state import expiring_stage
 
 
@@ -130,6 +132,65 @@ def test_expiring_stage(spark, tmp_path):
             spark.conf.unset(setting)
 
 
+def test_expiring_stage_keeps_nulls_and_long_numbers(spark, tmp_path):
+    big = 2**60 + 1
+    rows = [("10-01 10:00:00", kind, product, "a", "x", 5.0, user, "s") for kind, product, user in (
+        ("view", big, None), ("cart", big, None), ("view", None, big), ("purchase", big, big), ("view", 0, 0)
+    )]
+    events(spark, rows).coalesce(1).write.parquet(str(tmp_path / "in"))
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
+    for setting, value in settings.items():
+        spark.conf.set(setting, value)
+    try:
+        found = run(expiring_stage(sources.read_file_stream(spark, str(tmp_path / "in"))), "update", tmp_path, spark)
+        assert {tuple(r) for r in found.collect()} == {
+            (None, big, "added_to_cart"), (big, None, "viewed_only"), (big, big, "purchased"), (0, 0, "viewed_only"),
+        }
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
+
+
+class Remembered:
+    """A value state that counts how often it is read and written."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, name, schema, ttlDurationMs):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+
+def test_many_pairs_read_their_state_at_once():
+    """A bucket of pairs costs one read and one write, pairs expire one by one, nulls are values."""
+    state = Remembered()
+    stages = funnel_state._FurthestStages(100)
+    stages.init(state)
+
+    def rose(now, *batches):
+        frames = [pd.DataFrame(b, columns=["user_id", "product_id", "missing", "rank"]) for b in batches]
+        found = stages.handleInputRows((0,), iter(frames), TimerValues(now, -1))
+        return sorted(tuple(r) for frame in found for r in frame.itertuples(index=False))
+
+    many = [(u, 1, 0, u % 3) for u in range(1000)]
+    assert rose(0, many[:600], many[500:]) == many and state.calls == 2
+    assert rose(50, [(7, 1, 0, 0), (0, 1, 0, 2), (0, 1, 1, 0)]) == [(0, 1, 0, 2), (0, 1, 1, 0)]
+    # All but the pairs of the batch before are forgotten by now.
+    assert rose(100, [(7, 1, 0, 1), (8, 1, 0, 0), (0, 1, 0, 1)]) == [(8, 1, 0, 0)]
+    assert {u for u, *_ in zip(*state.value)} == {0, 7, 8} and len(state.value[0]) == 4
+
+
 def test_daily_upsert(spark, tmp_path):
     folder, silver, gold = (str(tmp_path / n) for n in ("in", "silver", "gold"))
     # The third file holds a copy of an event of the first.
