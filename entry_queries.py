@@ -260,9 +260,13 @@ def _category_upsert(spark: SparkSession, folder: str) -> DataFrame:
     root = _run_folder(spark)
     weeks = F.floor(F.dayofmonth("event_time") / 7).cast("int")
     raw = shop_events(configure(spark), folder)
-    zoned = raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    zoned = raw.withColumn("event_time", F.col("event_time").cast("timestamp")).withColumn("week", weeks)
+    # Written once: events meet their products in one join, not in one per week.
+    zoned.write.partitionBy("week").parquet(f"{root}/weeks")
+    written = spark.read.schema(zoned.schema).parquet(f"{root}/weeks")
     for week in range(5):  # the later weeks first
-        zoned.where(weeks == 4 - week).coalesce(1).write.mode("append").parquet(f"{root}/raw")
+        rows = written.where(F.col("week") == 4 - week).drop("week")
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/raw")
     stream = spark.readStream.schema(schemas.RAW).option("maxFilesPerTrigger", 1).parquet(f"{root}/raw")
     batch = category_deltas.upsert_category(f"{root}/silver", f"{root}/deltas", f"{root}/gold")
     writer = jobs.silver_rows(stream).writeStream.foreachBatch(batch)

@@ -92,7 +92,8 @@ def batch_delta(spark: SparkSession, silver: str, batch_id: int, days: list[tupl
     keys = touched.where(F.col("batch") == batch_id).select(*key).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
     named = keys.select(*(F.col(c).alias(f"_{c}") for c in key))
-    rows = touched.join(named, same, "left_semi")
+    # A row per event of the batch: shuffled, as a broadcast of it would pass through the driver.
+    rows = touched.join(named.hint("merge"), same, "left_semi")
     kept = [c for c in rows.columns if c not in ("batch",)]
     now = dedup_events(rows.select(*kept)).withColumn("sign", F.lit(1))
     before = dedup_events(rows.where(F.col("batch") < batch_id).select(*kept)).withColumn("sign", F.lit(-1))

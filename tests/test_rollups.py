@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import pytest
 from frames import EDGE, events
+from pyspark.sql import functions as F
 
 from shoptide.plans import dimensions, history, rollups
 from shoptide.plans.gold import PERIOD_FACT, gold_category, gold_period
@@ -156,6 +157,18 @@ def test_category_fact_by_deltas(spark, tmp_path):
     assert content(found.select(*GOLD_CATEGORY.names)) == content(exact.select(*GOLD_CATEGORY.names))
 
 
+def test_keys_of_a_batch_do_not_pass_the_driver(spark, tmp_path):
+    """They are as many as its events. Whatever Spark takes for small, no join broadcasts them."""
+    path = str(tmp_path / "silver")
+    batch = silver_rows(events(spark, EDGE)).withColumn("batch", F.lit(0).cast("bigint"))
+    tables.write_events(batch, path, partitions=(*tables.DAY_PARTITIONS, "batch"))
+    days = [tuple(d) for d in batch.select(*tables.DAY_PARTITIONS).distinct().collect()]
+    change = category_deltas.batch_delta(spark, path, 0, days)
+    assert change.collect()
+    plan = change._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_a_batch_without_rows(spark, tmp_path):
     apply = category_deltas.upsert_category(*(str(tmp_path / n) for n in ("silver", "deltas", "gold")))
     apply(silver_rows(events(spark, EDGE[:3])), 0)
