@@ -56,13 +56,17 @@ class TreeBpe:
         ranks = self.ranks
         parts = [data[i : i + 1] for i in range(len(data))]
         if len(parts) <= LEAF_BYTES:
-            while len(parts) > 1:
-                pairs = [ranks.get(a + b, 1 << 62) for a, b in zip(parts, parts[1:])]
-                low = min(pairs)
-                if low == 1 << 62:
-                    break
+            pairs = [ranks.get(a + b, 1 << 62) for a, b in zip(parts, parts[1:])]
+            while pairs and (low := min(pairs)) != 1 << 62:
                 at = pairs.index(low)
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                joined = parts[at] + parts.pop(at + 1)
+                parts[at] = joined
+                # Only the pairs on both sides of what was joined are new.
+                del pairs[at]
+                if at:
+                    pairs[at - 1] = ranks.get(parts[at - 1] + joined, 1 << 62)
+                if at < len(pairs):
+                    pairs[at] = ranks.get(joined + parts[at + 1], 1 << 62)
             return [ranks[p] for p in parts]
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))

@@ -50,6 +50,23 @@ def test_long_pieces(raw, library):
         assert own.encode(text) == library.encode_ordinary(text)
 
 
+def test_a_join_looks_up_its_two_neighbours_only(library):
+    """Over 32 bytes 31 pairs and two for each join, not all pairs again after each."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    data = b"representationalinternationalise"
+    ranks = Counted(library._mergeable_ranks)
+    ids = tree_bpe.TreeBpe(ranks, public_tokenizers.PATTERN).merge(data)
+    assert data not in ranks and ids == library.encode(data.decode())
+    assert len(data) == 32 and ranks.asked <= 31 + 2 * (32 - len(ids))
+
+
 def test_frames(spark, library):
     texts = [None, "", "Hello  wörld's 123\n\n", "x" * 5000, "Hello  wörld's 123\n\n", "<|endoftext|>"]
     rows = [(i, t, "clash", 3.5) for i, t in enumerate(texts)]
