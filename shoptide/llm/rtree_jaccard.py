@@ -477,10 +477,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of edges beside the texts of their ends (a, b, x, y) those whose full sets reach the threshold."""
+    cache = WordHashes()
     for batch in batches:
         kept = []
-        for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        for i, both in enumerate(zip(batch.column(2), batch.column(3))):
+            x, y = (s for _, sets in shingle_sets([t.as_buffer().to_pybytes() for t in both], cache) for s in sets)
             shared = len(np.intersect1d(x, y, assume_unique=True))
             if 100 * shared >= THRESHOLD * (len(x) + len(y) - shared):
                 kept.append(i)
@@ -511,18 +513,21 @@ def classes(docs: DataFrame) -> DataFrame:
         named.groupBy("d1", "d2", "_doc", "_key").agg(F.min("cid").alias("cid"))
     )
     members = _members(heads, own)
-    found = cut(_cells(_every_asks(members), heads.select("cid", "prints")).mapInArrow(_search(False), EDGES).distinct())
+    # Few members have a partner: only their prints are shuffled.
+    marked = heads.select("cid", "prints", F.xxhash64("cid").alias("mark"))
+    prints = maybe_among(marked, "mark", members.select(F.xxhash64("cid"))).select("cid", "prints")
+    found = cut(_cells(_every_asks(members), prints).mapInArrow(_search(False), EDGES).distinct())
     links = reached = None
     if not found.isEmpty():
-        sets = _sets_of(found.select(F.col("a").alias("cid")).union(found.select("b")).distinct(), keyed, own)
-        side = lambda name, to: sets.select(F.col("cid").alias(name), F.col("shingles").alias(to))
+        texts = _texts_of(found.select(F.col("a").alias("cid")).union(found.select("b")).distinct(), keyed, own)
+        side = lambda name, to: texts.select(F.col("cid").alias(name), F.col("text").alias(to))
         beside = found.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
         links = cut(beside.mapInArrow(_verify, EDGES))
         reached = cut(_placed(links))
     left = cut(_open_buckets(members, found, links, reached))
     if not left.isEmpty():
         met = cut(_cells(_second_cells(left), heads.select("cid", "point")).mapInArrow(_reaching, CELLS))
-        sets = _sets_of(met.select("cid").distinct(), keyed, own)
+        sets = _texts_of(met.select("cid").distinct(), keyed, own).mapInArrow(_sets, SETS)
         more = cut(_cells(met, sets).mapInArrow(_search(True), EDGES).distinct())
         links = more if links is None else links.union(more)
         reached = cut(_placed(links))
@@ -565,15 +570,29 @@ def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
     members = cut(
         dealt.join(shared, "bucket").where(fit).select("bucket", "cid", "n").join(own.select("cid"), "cid")
     )
-    # Buckets with the same members are one.
+    # The aggregate reads every column here too.
+    rows = members.where("bucket is not null and cid is not null and n is not null").repartition("bucket")
     mark = lambda seed: F.sum(
         F.pmod(F.xxhash64(F.lit(seed), "cid"), F.lit(1 << 40))
     ).alias(f"s{seed}")
-    sums = members.groupBy("bucket").agg(
+    sums = rows.groupBy("bucket").agg(
         F.count("*").alias("g"), F.min("cid").alias("hub"), F.sum("n").alias("shingles"), mark(1), mark(2)
-    ).where("g >= 2")
-    kept = sums.groupBy("g", "hub", "shingles", "s1", "s2").agg(F.min("bucket").alias("bucket"))
-    members = cut(members.join(kept.select("bucket", _tiles("g", "shingles").alias("tiles")), "bucket"))
+    ).where("g >= 2 and shingles > 0")
+    # Buckets of one least member are one, in which each member is once.
+    joint = cut(rows.join(sums.select("bucket", "hub"), "bucket").select("hub", "cid", "n").distinct())
+    sizes = cut(
+        joint.groupBy("hub").agg(F.count("*").alias("g"), F.sum("n").alias("shingles"))
+        .select("hub", "g", _tiles("g", "shingles").alias("tiles"))
+    )
+    one = joint.join(sizes.where("tiles = 1 and g >= 2").select("hub"), "hub")
+    members = one.select((-1 - F.col("hub")).alias("bucket"), "cid", "n", F.lit(1).alias("tiles"))
+    wide = sizes.where("tiles > 1").select("hub")
+    if not wide.isEmpty():
+        # Too many for a tile: only buckets with the same members are one.
+        kept = sums.join(wide, "hub").groupBy("g", "hub", "shingles", "s1", "s2").agg(F.min("bucket").alias("bucket"))
+        kept = kept.select("bucket", _tiles("g", "shingles").alias("tiles"))
+        members = members.union(rows.join(kept, "bucket").select("bucket", "cid", "n", "tiles"))
+    members = cut(members)
     # Prints are larger than points: only members that the tree leaves a partner get them.
     pointed = _cells(_every_asks(members.where("tiles = 1")), heads.select("cid", "point"))
     paired = pointed.mapInArrow(_reaching, CELLS).select("bucket", "cid").join(heads.select("cid", "n"), "cid")
@@ -641,13 +660,12 @@ def _second_cells(left: DataFrame) -> DataFrame:
     return met.union(ask)
 
 
-def _sets_of(wanted: DataFrame, keyed: DataFrame, own: DataFrame) -> DataFrame:
-    """The full sets of the wanted cids."""
+def _texts_of(wanted: DataFrame, keyed: DataFrame, own: DataFrame) -> DataFrame:
+    """The texts of the wanted cids: shorter than their sets, which are made where they are compared."""
     sources = wanted.join(own.select("cid", "_doc", "_key"), "cid")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
     texts = maybe_among(keyed, "text_key", sources.select("_key"))
-    sets = texts.join(sources, same).select("cid", "text").mapInArrow(_sets, SETS)
-    return cut(sets.dropDuplicates(["cid"]))
+    return cut(texts.join(sources, same).select("cid", "text").dropDuplicates(["cid"]))
 
 
 def joined(docs: DataFrame) -> DataFrame:

@@ -228,6 +228,28 @@ def test_join_over_tiles(spark, monkeypatch):
     assert {tuple(r) for r in rtree_jaccard.joined(frame).collect()} == brute_classes(rows)
 
 
+def test_buckets_of_one_least_member_are_one(spark, monkeypatch):
+    """Near copies share most of their buckets, never all: each is sent to its group once."""
+    seen, own = [], rtree_jaccard._every_asks
+    monkeypatch.setattr(rtree_jaccard, "_every_asks", lambda members: seen.append(members) or own(members))
+    rnd = random.Random(8)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}t{i}" for i in range(90)]
+        for i in range(12):
+            edited = list(base)
+            for _ in range(rnd.randrange(0, 4)):
+                edited[rnd.randrange(90)] = f"e{rnd.randrange(9)}"
+            rows.append((100 * family + i, " ".join(edited)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in rtree_jaccard.joined(frame).collect()} == brute_classes(rows)
+    groups = seen[0].groupBy("bucket").agg(
+        F.min("cid").alias("least"), F.count("*").alias("rows"), F.countDistinct("cid").alias("members")
+    ).collect()
+    assert groups and len({g.least for g in groups}) == len(groups)
+    assert all(g.rows == g.members for g in groups)
+
+
 def test_one_of_each_group_stays(docs, rows):
     kept = {r.doc_id for r in rtree_jaccard.keep_first(docs).collect()}
     assert kept == {low for _, n, low in brute_classes(rows) if n} | {d for d, n, _ in brute_classes(rows) if not n}
