@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -40,6 +41,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Steps that run inside hand rows to Python in batches of about ``CHUNK_BYTES``: an executor and its
+    workers hold a batch several times."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(CHUNK_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _bitmap(wanted: DataFrame) -> DataFrame:
     slots = wanted.select((F.pmod(F.col(wanted.columns[0]), F.lit(BITMAP_SLOTS)) + 1).alias("slot"))
     return slots.groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(
@@ -89,8 +103,12 @@ def words(c: Column) -> Column:
 class WordHashes(dict):
     """Word (bytes) to 64-bit hash, remembering a bounded number of words."""
 
+    def __init__(self, most: int = CACHED_WORDS):
+        super().__init__()
+        self.most = most
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= self.most:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -120,17 +138,18 @@ def window_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
 
 
 def word_runs(
-    texts: list[bytes], cache: WordHashes
+    texts: list[bytes], cache: WordHashes, lower: bool = False
 ) -> Iterator[tuple[int, list[list[bytes]], np.ndarray, np.ndarray]]:
     """Texts in chunks of bounded size: index of the first text, words per text, the hashes of all
-    their words in a row, and where each text starts in that row (one more entry at the end)."""
+    their words in a row, and where each text starts in that row (one more entry at the end).
+    ``lower`` reads A-Z in lower case."""
     first = 0
     while first < len(texts):
         last, size = first, 0
         while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK_BYTES):
             size += len(texts[last])
             last += 1
-        split = [t.split() for t in texts[first:last]]
+        split = [(t.lower() if lower else t).split() for t in texts[first:last]]
         starts = np.zeros(len(split) + 1, np.int64)
         np.cumsum([len(w) for w in split], out=starts[1:])
         hashes = np.empty(int(starts[-1]), np.uint64)

@@ -51,6 +51,7 @@ from shoptide.llm.common import (
     components,
     cut,
     maybe_among,
+    small_batches,
     text_bytes,
     window_hashes,
     word_runs,
@@ -63,6 +64,8 @@ THRESHOLD = 80
 GROUPS = 64
 #: Shingles of a group, at most about, in the points of long sets.
 GROUP_SHINGLES = 4
+#: Words whose hash a task remembers: frequent words come soon, the others are one in ten.
+TASK_WORDS = 1 << 17
 #: Slots of the sketch of shingle counts; a slot is heavy from this many deviations above the mean.
 SLOTS, SLICES, HEAVY_DEVIATIONS, HEAVY_LEAST = 1 << 20, 64, 12, 64
 #: Members of a bucket that one tree holds, about, and their shingles.
@@ -102,7 +105,7 @@ CELLS = "bucket long, tile int, block int, cid long, comp long, ask boolean"
 
 def shingle_sets(texts: list[bytes], cache: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Sorted distinct shingle hashes of every text, in chunks of bounded size."""
-    for first, split, hashes, starts in word_runs([t.lower() for t in texts], cache):
+    for first, split, hashes, starts in word_runs(texts, cache, lower=True):
         windows = window_hashes(hashes, SHINGLE_WORDS, 5)
         sets = []
         for i in range(len(split)):
@@ -122,7 +125,7 @@ def slots(hashes: np.ndarray) -> np.ndarray:
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and at the end of the task its counts of shingles per slot, by slices."""
-    cache, counts = WordHashes(), np.zeros(SLOTS, np.uint32)
+    cache, counts = WordHashes(TASK_WORDS), np.zeros(SLOTS, np.uint32)
     for batch in batches:
         for first, sets in shingle_sets(text_bytes(batch.column(2)), cache):
             every = np.concatenate(sets)
@@ -210,7 +213,7 @@ def _second_pass(heavy: bytes):
     bits = np.unpackbits(np.frombuffer(heavy, np.uint8)).astype(bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        cache = WordHashes(TASK_WORDS)
         for batch in batches:
             for first, sets in shingle_sets(text_bytes(batch.column(2)), cache):
                 heads, points, prints = [], [], []
@@ -464,7 +467,7 @@ def _search(exact: bool):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
+    cache = WordHashes(TASK_WORDS)
     for batch in batches:
         for first, sets in shingle_sets(text_bytes(batch.column(1)), cache):
             yield pa.RecordBatch.from_arrays(
@@ -478,7 +481,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of edges beside the texts of their ends (a, b, x, y) those whose full sets reach the threshold."""
-    cache = WordHashes()
+    cache = WordHashes(TASK_WORDS)
     for batch in batches:
         kept = []
         for i, both in enumerate(zip(batch.column(2), batch.column(3))):
@@ -492,6 +495,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles and component (a number that linked rows share; null for rows
     without shingles)."""
+    with small_batches(docs.sparkSession):
+        return _classes(docs)
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key, "text")
     first = cut(keyed.mapInArrow(_first_pass, FIRST_PASS))

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -250,6 +251,41 @@ def test_buckets_of_one_least_member_are_one(spark, monkeypatch):
     assert all(g.rows == g.members for g in groups)
 
 
+def test_join_remembers_few_words(monkeypatch):
+    caches = []
+
+    class Seen(common.WordHashes):
+        def __init__(self, *most):
+            super().__init__(*most)
+            caches.append(self)
+
+        def __missing__(self, word):
+            value = super().__missing__(word)
+            assert len(self) <= 8
+            return value
+
+    monkeypatch.setattr(rtree_jaccard, "WordHashes", Seen)
+    monkeypatch.setattr(rtree_jaccard, "TASK_WORDS", 8, raising=False)
+    texts = [" ".join(f"W{i * j}" for j in range(30)) for i in range(9)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "text_key": list(range(9)), "text": texts})
+    first = [r for b in rtree_jaccard._first_pass(iter([batch])) for r in b.to_pylist() if r["slice"] is None]
+    assert caches and [(r["doc_id"], r["n"]) for r in first] == [(i, n) for i, n, _ in sorted(brute_classes(list(enumerate(texts))))]
+    pairs = pa.RecordBatch.from_pydict(
+        {"a": [0, 1], "b": [2, 3], "x": [texts[8], texts[1]], "y": [texts[8].lower(), texts[5]]}
+    )
+    assert [r for b in rtree_jaccard._verify(iter([pairs])) for r in b.to_pylist()] == [{"a": 0, "b": 2}]
+
+
+def test_join_hands_on_small_batches(spark, monkeypatch):
+    """The passes over the texts see batches of a few MB, and the session is as before."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, write = spark.conf.get(name), rtree_jaccard.cut
+    monkeypatch.setattr(rtree_jaccard, "cut", lambda df: seen.append(spark.conf.get(name)) or write(df))
+    frame = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f")], "doc_id long, text string")
+    assert {r.component for r in rtree_jaccard.classes(frame).select("component").collect()} != {None}
+    assert set(seen) == {str(common.CHUNK_BYTES)} and spark.conf.get(name) == before
+
+
 def test_one_of_each_group_stays(docs, rows):
     kept = {r.doc_id for r in rtree_jaccard.keep_first(docs).collect()}
     assert kept == {low for _, n, low in brute_classes(rows) if n} | {d for d, n, _ in brute_classes(rows) if not n}
