@@ -11,8 +11,8 @@ searched almost whole by every query (README). So points are dealt to trees by a
 nothing either: two sets of Jaccard ``t`` must share one of their first ``n - ceil(t n) + 1`` shingles
 in any order common to all documents. The order puts shingles that many documents hold last (their
 counts come from a sketch of fixed size over all documents; it steers the work, not the result), then
-goes by hash. All documents that have a shingle among their first form a bucket, and buckets with the
-same members are one.
+goes by hash. All documents that have a shingle among their first form a bucket. Buckets with the
+same least member are one, or, where that is too much for a tile, those with the same members.
 
 Of a bucket only members stay that some other member's size allows: where the shingle of the bucket is
 the first that two sets share, those before it in either order are not shared.
@@ -578,7 +578,7 @@ def _members(heads: DataFrame, own: DataFrame) -> DataFrame:
     members = cut(
         dealt.join(shared, "bucket").where(fit).select("bucket", "cid", "n").join(own.select("cid"), "cid")
     )
-    # The aggregate reads every column here too.
+    # The aggregate reads every column here too: one shuffle.
     rows = members.where("bucket is not null and cid is not null and n is not null").repartition("bucket")
     mark = lambda seed: F.sum(
         F.pmod(F.xxhash64(F.lit(seed), "cid"), F.lit(1 << 40))
