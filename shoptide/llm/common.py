@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ CACHED_WORDS = 1 << 20
 BITMAP_SLOTS = 1 << 27
 #: Bytes of text that are tokenised at once in a Python worker.
 CHUNK_BYTES = 1 << 22
+#: Nodes of a graph that a task joins at once, about.
+TASK_NODES = 1 << 20
 
 
 def scratch(spark: SparkSession) -> str:
@@ -166,42 +169,78 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast("binary").to_pylist()]
 
 
-def components(
-    edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60
-) -> DataFrame:
-    """Smallest node reachable from each node of the edges: columns node, component.
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of edges (u, v) one from each node to the smallest that the task's edges join it with, over up to
+    ``TASK_NODES`` nodes at once."""
+    low: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := low.get(top, top)) != top:
+            top = up
+        while x != top:
+            low[x], x = top, low[x]
+        return top
+
+    def out() -> pa.RecordBatch:
+        ends = [root(u) for u in low]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(low), pa.int64()), pa.array(ends, pa.int64())], names=["u", "v"]
+        )
 
-    Alternating large-star and small-star steps: every node hands its larger neighbours, then its
-    smaller ones, to the smallest node it knows, until nothing changes. A step is a grouped minimum,
-    combined in the map tasks, and a join on the node; a node with many neighbours is never gathered.
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            u, v = root(u), root(v)
+            if u != v:
+                low[max(u, v)] = min(u, v)
+        if len(low) >= TASK_NODES:
+            yield out()
+            low.clear()
+    if low:
+        yield out()
+
+
+def stars(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+    """Smallest node reachable from each node of the edges that is not itself the smallest: columns node,
+    component.
+
+    A round takes three steps, and none parts what the edges join. A task joins what its own edges
+    join. What a node was joined with in several tasks goes, with it, to the smallest of them. An edge to
+    a node that knows a smaller one leads there instead. The end is reached when every node has one
+    smaller neighbour, and that one has none. A node with many neighbours is never gathered: a node comes
+    once from each task, the rest are grouped minima. Rounds are written by a few tasks per core: their
+    rows are two numbers.
     """
     pairs = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
-    pairs = pairs.where("u is not null and v is not null and u <> v")
-    both = lambda p: p.select("u", "v").union(p.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    current = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
+    # Written: a round reads its edges twice, and must see the same.
+    current = cut(pairs.where("u is not null and v is not null and u <> v"))
+    files = max(32, 4 * edges.sparkSession.sparkContext.defaultParallelism)
     for _ in range(rounds):
-        # Large star: neighbours above u go to the smallest of u and its neighbours.
-        arcs = both(current)
-        low = arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            arcs.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        met = current.mapInArrow(_contracted, "u long, v long").groupBy("u").agg(
+            F.min("v").alias("m"), F.collect_set("v").alias("met")
         )
-        large = large.where("u <> v").distinct()
-        # Small star: neighbours below u, and u itself, go to the smallest of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        current = cut(small)
-        after = current.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if after == before:
+        others = F.filter("met", lambda v: v != F.col("m"))
+        arcs = met.select(F.explode(F.concat(F.array("u"), others)).alias("u"), F.col("m").alias("v"))
+        low = arcs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), "m")
+        led = arcs.join(low, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+        current = cut(led.coalesce(files))
+        none = F.lit(None).cast("long")
+        ends = current.select(F.col("u").alias("node"), "v").union(current.select("v", none))
+        apart = "low <> high or (low is not null and ups < n)"
+        unsettled = ends.groupBy("node").agg(
+            F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("ups"), F.count("*").alias("n")
+        ).where(apart)
+        if not unsettled.count():
             break
-        before = after
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = current.select(F.col("v").alias("node")).distinct()
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        roots.select("node", F.col("node").alias("component"))
-    )
+    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).distinct()
+
+
+def components(
+    edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60
+) -> DataFrame:
+    """Smallest node reachable from each node of the edges: columns node, component."""
+    found = stars(edges, a, b, rounds)
+    roots = found.select(F.col("component").alias("node")).distinct()
+    return found.union(roots.select("node", F.col("node").alias("component")))

@@ -52,6 +52,7 @@ from shoptide.llm.common import (
     cut,
     maybe_among,
     small_batches,
+    stars,
     text_bytes,
     window_hashes,
     word_runs,
@@ -531,14 +532,13 @@ def _classes(docs: DataFrame) -> DataFrame:
         side = lambda name, to: texts.select(F.col("cid").alias(name), F.col("text").alias(to))
         beside = found.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
         links = cut(beside.mapInArrow(_verify, EDGES))
-        reached = cut(_placed(links))
+        reached = _placed(links)
     left = cut(_open_buckets(members, found, links, reached))
     if not left.isEmpty():
         met = cut(_cells(_second_cells(left), heads.select("cid", "point")).mapInArrow(_reaching, CELLS))
         sets = _texts_of(met.select("cid").distinct(), keyed, own).mapInArrow(_sets, SETS)
         more = cut(_cells(met, sets).mapInArrow(_search(True), EDGES).distinct())
-        links = more if links is None else links.union(more)
-        reached = cut(_placed(links))
+        reached = _joined_by(more, reached)
 
     named = own.select("d1", "d2", "cid")
     if reached is not None:
@@ -552,7 +552,27 @@ def _classes(docs: DataFrame) -> DataFrame:
 
 
 def _placed(links: DataFrame) -> DataFrame:
-    return components(links).select(F.col("node").alias("cid"), "component")
+    """cid and component of the members that are not the least of theirs."""
+    return stars(links).select(F.col("node").alias("cid"), "component")
+
+
+def _across(edges: DataFrame, reached: DataFrame) -> DataFrame:
+    """The edges between the components of their ends, without those inside one."""
+    side = lambda end: reached.select(F.col("cid").alias(end), F.col("component").alias(f"_{end}"))
+    beside = edges.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return beside.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b")
+
+
+def _joined_by(links: DataFrame, reached: DataFrame | None) -> DataFrame:
+    """The components when links join some of them: only these are searched anew."""
+    if reached is None:
+        return _placed(links)
+    if links.isEmpty():
+        return reached
+    tops = _placed(_across(links, reached))
+    above = tops.select(F.col("cid").alias("component"), F.col("component").alias("top"))
+    moved = reached.join(above, "component", "left").select("cid", F.coalesce("top", "component").alias("component"))
+    return moved.union(tops)
 
 
 def _tiles(rows: str, shingles: str):
@@ -633,11 +653,13 @@ def _open_buckets(members, found, links, reached) -> DataFrame:
         )
     apart = F.min("comp") < F.max("comp")
     wide = placed.where("tiles > 1").groupBy("bucket").agg(apart.alias("apart")).where("apart").select("bucket")
-    if links is not None and not found.join(links, ["a", "b"], "left_anti").isEmpty():
+    if links is not None:
         # What a refuted edge had joined was not searched further.
-        joined = _placed(found).select("cid", F.col("component").alias("joined"))
-        doubtful = placed.join(joined, "cid").groupBy("bucket", "joined").agg(apart.alias("apart"))
-        wide = wide.union(doubtful.where("apart").select("bucket")).distinct()
+        refuted = cut(_across(found.join(links, ["a", "b"], "left_anti"), reached))
+        if not refuted.isEmpty():
+            joined = components(refuted).select(F.col("node").alias("comp"), F.col("component").alias("joined"))
+            doubtful = placed.join(joined, "comp").groupBy("bucket", "joined").agg(apart.alias("apart"))
+            wide = wide.union(doubtful.where("apart").select("bucket")).distinct()
     return placed.join(wide, "bucket")
 
 

@@ -286,6 +286,28 @@ def test_join_hands_on_small_batches(spark, monkeypatch):
     assert set(seen) == {str(common.CHUNK_BYTES)} and spark.conf.get(name) == before
 
 
+def test_join_finds_components_once(spark, monkeypatch):
+    """Prints confirm pairs that the sets refute: few tables are written, and no link is lost."""
+    written, write, prints = [], common.cut, rtree_jaccard.shared_prints
+    for module in (common, rtree_jaccard):
+        monkeypatch.setattr(module, "cut", lambda df: written.append(df) or write(df))
+    monkeypatch.setattr(rtree_jaccard, "TILE_ROWS", 6)
+    monkeypatch.setattr(
+        rtree_jaccard, "shared_prints", lambda own, others, table: np.minimum(prints(own, others, table) + 6, len(own))
+    )
+    rnd = random.Random(11)
+    base = [f"t{i}" for i in range(90)]
+    rows = []
+    for i in range(40):
+        edited = list(base)
+        for _ in range(rnd.randrange(1, 6)):
+            edited[rnd.randrange(90)] = f"e{rnd.randrange(3)}"
+        rows.append((i, " ".join(edited)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in rtree_jaccard.joined(frame).collect()} == brute_classes(rows)
+    assert len(written) <= 26
+
+
 def test_one_of_each_group_stays(docs, rows):
     kept = {r.doc_id for r in rtree_jaccard.keep_first(docs).collect()}
     assert kept == {low for _, n, low in brute_classes(rows) if n} | {d for d, n, _ in brute_classes(rows) if not n}
@@ -642,3 +664,23 @@ def test_components_of_a_long_path(spark):
     frame = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.component for r in common.components(frame).collect()}
     assert got == {i: 0 for i in range(51)} | {98: 98, 99: 98, 100: 98}
+
+
+def test_components_of_many_graphs_in_few_steps(spark, monkeypatch):
+    """Groups whose edges lie in many tasks, against plain Python; repeated and turned edges too."""
+    written, write = [], common.cut
+    monkeypatch.setattr(common, "cut", lambda df: written.append(df) or write(df))
+    monkeypatch.setattr(common, "TASK_NODES", 64, raising=False)
+    rnd = random.Random(4)
+    edges, lowest = [], {}
+    for group, size in enumerate([2, 3, 40, 400, 1500]):
+        ids = [10_000 * group + x for x in rnd.sample(range(5000), size)]
+        lowest |= dict.fromkeys(ids, min(ids))
+        for i in range(1, size):
+            other = ids[i - 1] if group % 2 else ids[rnd.randrange(i)]
+            edges += [(ids[i], other)] * rnd.randrange(1, 3) + [(other, ids[i])] * (i % 7 == 0)
+    rnd.shuffle(edges)
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(16)
+    got = common.components(frame).collect()
+    assert len(got) == len(lowest) and {r.node: r.component for r in got} == lowest
+    assert len(written) <= 5
